@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .. import grouping, kernels, runtime
 
 #: Bounds of the number of pivots, and the number of vectors one pivot stands for.
-MIN_PIVOTS, MAX_PIVOTS, PER_PIVOT = 64, 4096, 100
+MIN_PIVOTS, MAX_PIVOTS, PER_PIVOT = 64, 4096, 240
 #: Length of the permutation prefix.
 PREFIX = 6
 #: Postings of one list that one group holds.

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import grouping, kernels, runtime
+from ..operators.listing import clean_path
 from .permutation_index import encoded
 
 #: Bits of a sketch, in 64-bit words.
@@ -235,13 +236,6 @@ def near_duplicate_vectors(
     return sure.unionByName(exact).distinct()
 
 
-def clean_path(path: str | F.Column) -> F.Column:
-    """Trim white space, ``\\`` to ``/``, runs of ``/`` to one, lower case."""
-    column = F.col(path) if isinstance(path, str) else path
-    trimmed = F.btrim(column, F.lit(" \t\r\n"))
-    return F.lower(F.regexp_replace(F.translate(trimmed, "\\", "/"), "/+", "/"))
-
-
 def changed_copies(
     df: DataFrame,
     paths: DataFrame,
@@ -267,3 +261,14 @@ def changed_copies(
     return pairs.join(same, ["a", "b"], "left_anti").select(
         F.col("a").alias("index_a"), F.col("b").alias("index_b")
     )
+
+
+def copy_groups(pairs: DataFrame) -> DataFrame:
+    """(data_index, group_id, links): every id with a changed copy, its group and its number of copies."""
+    from .min_label import connected
+
+    ends = pairs.select(F.explode(F.array("index_a", "index_b")).alias("node"))
+    links = ends.groupBy("node").agg(F.count("*").alias("links"))
+    return connected(pairs, "index_a", "index_b").join(links, "node").select(
+        F.col("node").alias("data_index"), F.col("label").alias("group_id"), "links"
+    )
