@@ -2,17 +2,34 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import runtime
 from .operators import listing
+from .streaming import compactor
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _compacted(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    folder = f"{runtime.checkpoint_dir(spark)}/compactor-{uuid.uuid4().hex}"
+    return folder, compactor.compact_files(spark, f"{sf_dir}/fpath_files.parquet", folder)
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, _ = _compacted(spark, sf_dir)
+    return compactor.dropped(spark, folder)
+
+
+def p2_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _compacted(spark, sf_dir)[1]
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listing.large_folders(listing.folder_results(_table(spark, sf_dir, "data_list")))
 
@@ -22,7 +39,7 @@ def p5_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p5_found, p5_folders)}
+    return {f.__name__: f for f in (p2_found, p2_records, p5_found, p5_folders)}
 
 
 _LISTING = """
@@ -42,8 +59,18 @@ folders AS (
 """
 
 
+_RECORDS = """
+WITH e AS (
+  SELECT file_id, k - 1 AS pos, trim(fpaths[k], E' \\t\\r\\n') AS path
+  FROM fpath_files, unnest(range(1, len(fpaths) + 1)) AS t(k)),
+r AS (SELECT *, row_number() OVER (PARTITION BY path ORDER BY file_id, pos) AS o FROM e WHERE path <> '')
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p2_found": _RECORDS + "SELECT file_id, pos FROM r WHERE o > 1",
+        "p2_records": _RECORDS + "SELECT path, file_id, pos FROM r WHERE o = 1",
         "p5_found": _LISTING
         + "SELECT folder FROM folders WHERE listings >= 0.02 * (SELECT sum(listings) FROM folders)",
         "p5_folders": _LISTING + "SELECT folder, listings, subjects, first_path FROM folders",
