@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bisecting, min_label, permutation_index, pigeonring, splits
+from . import bisecting, leakage, min_label, packing, permutation_index, pigeonring, spans, splits
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,9 +55,40 @@ def p7_described(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bisecting.describe_clusters(vectors, bisecting.vector_clusters(vectors))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.oversized(packing.token_counts(_table(spark, sf_dir, "documents")))
+
+
+def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = packing.runtime.written(packing.token_counts(_table(spark, sf_dir, "documents")), "counts")
+    return packing.pack(counts)
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.container_fill(p8_packed(spark, sf_dir))
+
+
+def p9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaked_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p9_passages(spark, sf_dir).select("doc_id", "item_id").distinct()
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.sharing_pairs(spans.shared_spans(_table(spark, sf_dir, "documents")))
+
+
+def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return spans.shared_amount(documents, spans.shared_spans(documents))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         p1_found, p1_similar, p3_found, p3_groups, p4_found, p6_found, p6_splits, p7_found, p7_described,
+        p8_found, p8_packed, p8_fill, p9_found, p9_passages, p10_found, p10_shared,
     ]
     return {f.__name__: f for f in named}
 
@@ -95,5 +126,23 @@ SELECT x AS folder_a, y AS folder_b FROM r WHERE x < y
 """
 
 
+_P9_RUNS = """
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+i AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM eval_items WHERE text IS NOT NULL),
+dg AS (SELECT doc_id, array_to_string(w[k:k + 11], ' ') AS g FROM d, unnest(range(1, len(w) - 10)) AS t(k)),
+ig AS (SELECT item_id, array_to_string(w[k:k + 11], ' ') AS g FROM i, unnest(range(1, len(w) - 10)) AS t(k))
+SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)
+"""
+
+_P10 = """
+WITH g AS (
+  SELECT DISTINCT doc_id, hash(substring(text, CAST(k AS INTEGER), 300)) AS h
+  FROM documents, unnest(range(1, length(text) - 298)) AS t(k) WHERE length(text) >= 300),
+m AS (SELECT h FROM g GROUP BY h HAVING count(*) > 1)
+SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b
+FROM g a JOIN g b ON a.h = b.h AND a.doc_id < b.doc_id WHERE a.h IN (SELECT h FROM m)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p4_found": _P4, "p6_found": _P6}
+    return {"p4_found": _P4, "p6_found": _P6, "p9_found": _P9_RUNS, "p10_found": _P10}
