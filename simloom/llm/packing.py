@@ -103,9 +103,9 @@ def token_counts(
     return source.filter("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(run, "doc_id long, tokens long")
 
 
-def oversized(counts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """(doc_id): texts longer than one container, the only ones that are cut."""
-    return counts.filter(F.col("tokens") > capacity).select("doc_id").distinct()
+def cut_texts(packed: DataFrame) -> DataFrame:
+    """(doc_id): the texts that stand in several containers, that is those longer than one."""
+    return packed.filter("part > 0").select("doc_id").distinct()
 
 
 def _fill(sizes: np.ndarray, capacity: int, classes: int) -> tuple[np.ndarray, np.ndarray]:

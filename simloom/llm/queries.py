@@ -55,15 +55,15 @@ def p7_described(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bisecting.describe_clusters(vectors, bisecting.vector_clusters(vectors))
 
 
-def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.oversized(packing.token_counts(_table(spark, sf_dir, "documents")))
-
-
 def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = packing.runtime.written(packing.token_counts(_table(spark, sf_dir, "documents")), "counts")
     return packing.pack(counts)
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.cut_texts(p8_packed(spark, sf_dir))
+
+
 def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.container_fill(p8_packed(spark, sf_dir))
 
