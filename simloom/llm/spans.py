@@ -12,7 +12,7 @@ and those of two texts, one of them new, are hits.  Runs are compacted into one
 when there are more than ``MAX_RUNS``.
 
 Hits are verified on the texts: the window's surroundings are fetched from the
-documents with hits (a fixed-size Bloom filter keeps the others out of the
+documents with hits (a Bloom filter of fixed size keeps the others out of the
 join), compared, and extended to both sides.  A hash with very many texts is
 cut into pairs of blocks.
 """
@@ -27,15 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .. import grouping, runtime
+from .. import bloom, grouping, runtime
 
 LEAST = 300
 #: Length of a hashed window.
 GRAM = 192
 #: Rows of one fingerprint that one group holds; beyond it, groups are pairs of blocks.
 BLOCK = 4096
-#: Bits of the filter of documents that have hits: 1 MB, whatever the collection.
-FILTER_BITS = 1 << 23
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -179,45 +177,11 @@ class SpanIndex:
         self.runs = [path]
 
 
-def _filter_bits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    with np.errstate(over="ignore"):
-        mixed = ids.astype(np.int64).view(np.uint64) * _BASE
-        mixed ^= mixed >> np.uint64(31)
-        mixed *= _MIX[0]
-    mask = np.uint64(FILTER_BITS - 1)
-    return (mixed & mask).astype(np.int64), ((mixed >> np.uint64(32)) & mask).astype(np.int64)
-
-
-def _with_hits(df: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text) of a superset of the documents in ``ids``: a Bloom filter's selection."""
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(FILTER_BITS, bool)
-        for batch in batches:
-            for place in _filter_bits(batch.column(0).to_numpy()):
-                bits[place] = True
-        yield pa.record_batch([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
-
-    parts = ids.coalesce(8).mapInArrow(build, "bits binary").collect()  # 8 rows of FILTER_BITS / 8 bytes
-    merged = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in parts:
-        merged |= np.frombuffer(row["bits"], np.uint8)
-    shared = df.sparkSession.sparkContext.broadcast(merged.tobytes())
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
-        for batch in batches:
-            one, two = _filter_bits(batch.column(0).to_numpy())
-            yield batch.filter(pa.array(bits[one] & bits[two]))
-
-    source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return source.filter("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(choose, "doc_id long, text string")
-
-
 def _surroundings(df: DataFrame, hits: DataFrame, id_col: str, text_col: str, least: int, gram: int) -> DataFrame:
     """(h, c, doc_id, at, lead, around): each hit with the characters within reach of its window."""
     places = hits.groupBy("doc_id").agg(F.collect_list(F.struct("h", "at", "c")).alias("places"))
-    texts = _with_hits(df, hits.select("doc_id").distinct(), id_col, text_col)
+    source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = bloom.likely(source.filter("text IS NOT NULL"), "doc_id", hits.select("doc_id"))
     reach = least - gram
     joined = texts.join(places, "doc_id").select("doc_id", "text", "places")
 
