@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import grouping, kernels, runtime
+from .. import bloom, grouping, kernels, runtime
 from ..operators.listing import clean_path
 from .permutation_index import encoded
 
@@ -229,9 +229,9 @@ def near_duplicate_vectors(
     close = runtime.written(close, "close")
     sure = close.filter(F.col("cosine") >= threshold + CODE_ERROR).select("a", "b")
     unsure = close.filter(F.col("cosine") < threshold + CODE_ERROR).select("a", "b")
-    ends = unsure.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    needed = df.join(ends, df[id_col] == ends["id"], "left_semi")
-    exact = _scored(unsure, exact_units(needed, id_col, vector_col, dim), dim, np.float32)
+    ends = unsure.select(F.explode(F.array("a", "b")).alias("id"))
+    needed = bloom.likely(exact_units(df, id_col, vector_col, dim), "id", ends)
+    exact = _scored(unsure, needed, dim, np.float32)
     exact = exact.filter(F.round("cosine", 6) >= threshold).select("a", "b")
     return sure.unionByName(exact).distinct()
 
