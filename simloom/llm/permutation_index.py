@@ -16,7 +16,7 @@ Layout
                 so every pair comes out once; each list returns its best ``k``
                 per query and a window keeps the best ``k`` of those
 
-Exact copies of one vector are searched once, through the copy with the
+Large groups of exact copies are searched once, through the copy with the
 smallest id, and get their rows back at the end.
 """
 
@@ -35,6 +35,8 @@ from .. import grouping, kernels, runtime
 MIN_PIVOTS, MAX_PIVOTS, PER_PIVOT = 64, 4096, 240
 #: Length of the permutation prefix.
 PREFIX = 6
+#: Rows from which a group of equal vectors is searched once only.
+COPIES = 16
 #: Postings of one list that one group holds.
 BLOCK = 16384
 
@@ -62,7 +64,7 @@ def encoded(df: DataFrame, id_col: str, vector_col: str, dim: int, dtype: type =
 
 def sample_units(df: DataFrame, id_col: str, vector_col: str, dim: int, size: int, rows: int) -> np.ndarray:
     """At most ``size`` distinct usable vectors, in the order of a hash of their id."""
-    share = min(1.0, 4.0 * size / max(rows, 1))
+    share = min(1.0, 1.3 * size / max(rows, 1) + 0.001)
     hashed = F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.lit(17)), F.lit(1 << 20))
     part = df if share >= 1 else df.filter(hashed < int(share * (1 << 20)) + 1)
     got = encoded(part, id_col, vector_col, dim).orderBy(F.xxhash64("id", F.lit(17)), "id").limit(size).toArrow()
@@ -241,9 +243,13 @@ def similar_vectors(
 
 
 def _copies(coded: DataFrame) -> DataFrame:
-    """(id, rep): ids whose code equals that of a smaller id, which stands for them."""
+    """(id, rep): ids of large groups of equal codes, but for the smallest id, which stands for the group.
+
+    Groups of fewer than ``COPIES`` rows are left to the search itself.
+    """
     keys = coded.select("id", F.xxhash64("code").alias("h"))
-    many = keys.groupBy("h").agg(F.min("id").alias("rep"), F.max("id").alias("last")).filter("rep < last")
+    many = keys.groupBy("h").agg(F.min("id").alias("rep"), F.max("id").alias("last"), F.count("*").alias("c"))
+    many = many.filter((F.col("c") >= COPIES) & (F.col("rep") < F.col("last")))
     return keys.join(many.select("h", "rep"), "h").filter("id <> rep").groupBy("id").agg(F.min("rep").alias("rep"))
 
 
