@@ -225,7 +225,7 @@ def similar_vectors(
     least_gain = (prefix * (prefix + 1) - max_footrule) // 2 if max_footrule is not None else 1
 
     coded = encoded(df, id_col, vector_col, dim)
-    copies = runtime.cut(_copies(coded))
+    copies = runtime.written(_copies(coded), "copies")
     single = coded.join(copies, "id", "left_anti")
 
     def search(group: pa.Table) -> Iterable[pa.RecordBatch]:
