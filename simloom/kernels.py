@@ -56,8 +56,14 @@ def decode(coded: np.ndarray) -> np.ndarray:
     return (rows / np.where(norm > 0, norm, 1)).astype(np.float32)
 
 
-def nearest(units: np.ndarray, pivots: np.ndarray, k: int, block: int = 2048) -> np.ndarray:
-    """Positions of the ``k`` pivots of largest inner product, best first, ties by position."""
+def nearest(
+    units: np.ndarray, pivots: np.ndarray, k: int, block: int = 2048, within: float | None = None
+) -> np.ndarray:
+    """Positions of the ``k`` pivots of largest inner product, best first, ties by position.
+
+    With ``within``, pivots whose product is lower than the best one's by more
+    than that are -1.
+    """
     k = min(k, len(pivots))
     out = np.empty((len(units), k), np.int64)
     lhs = units.astype(np.float32, copy=False)
@@ -70,7 +76,11 @@ def nearest(units: np.ndarray, pivots: np.ndarray, k: int, block: int = 2048) ->
         part.sort(axis=1)
         value = np.take_along_axis(score, part, 1)
         order = np.argsort(-value, axis=1, kind="stable")
-        out[lo : lo + block] = np.take_along_axis(part, order, 1)
+        best = np.take_along_axis(part, order, 1)
+        if within is not None:
+            value = np.take_along_axis(value, order, 1)
+            best[value < value[:, :1] - within] = -1
+        out[lo : lo + block] = best
     return out
 
 

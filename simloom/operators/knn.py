@@ -36,7 +36,7 @@ def ranked(df: DataFrame, k: int) -> DataFrame:
 
 
 def exact_topk_sql(
-    df: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", where: Column | None = None
+    df: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
     """The search as a cross join of expressions; quadratic rows, for small inputs and as a reference."""
     unit = df.filter(F.col(vector_col).isNotNull()).select(
@@ -55,10 +55,12 @@ def exact_topk(
     vector_col: str = "embedding",
     block: int = BLOCK,
     least: float | None = None,
+    corpus: Column | None = None,
 ) -> DataFrame:
     """(q, rk, n, sim): the exact ``k`` nearest of every vector, itself included.
 
-    ``least`` leaves out hits below it, after ranking.  Zero vectors have
+    ``least`` leaves out hits below it, after ranking.  ``corpus``, a condition on
+    the column id, limits what is searched, not what searches.  Zero vectors have
     similarity 0 to all and are kept.  Null, non-finite and empty vectors and
     null ids raise; so do vectors of unlike lengths: a search that silently
     skips rows would shift every index that follows.
@@ -94,7 +96,8 @@ def exact_topk(
     # group (i, j): queries of block i against the corpus of block j
     pair = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     queries = unit.withColumn("i", part).withColumn("j", pair).withColumn("role", F.lit(0).cast("byte"))
-    corpus = unit.withColumn("j", part).withColumn("i", pair).withColumn("role", F.lit(1).cast("byte"))
+    searched = unit if corpus is None else unit.filter(corpus)
+    corpus = searched.withColumn("j", part).withColumn("i", pair).withColumn("role", F.lit(1).cast("byte"))
     both = queries.select("i", "j", "role", "id", "code").unionByName(corpus.select("i", "j", "role", "id", "code"))
     both = both.select((F.col("i") * blocks + F.col("j")).alias("grp"), "role", "id", "code")
 
@@ -137,20 +140,12 @@ def sharded_topk(
     """
     out = None
     for shard in range(shards):
-        inside = (F.col("n") >= shard * shard_size) & (F.col("n") < (shard + 1) * shard_size)
-        # self first within its own shard only: the order by n and sim is that of the shard
-        part = ranked(_all_similarities(df, id_col, vector_col).filter(inside), k).withColumn("shard", F.lit(shard))
+        inside = (F.col("id") >= shard * shard_size) & (F.col("id") < (shard + 1) * shard_size)
+        part = exact_topk(df, k, id_col, vector_col, corpus=inside).withColumn("shard", F.lit(shard))
         out = part if out is None else out.unionByName(part)
     return out.select("shard", "q", "rk", "n", "sim")
 
 
-def _all_similarities(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    unit = df.select(F.col(id_col).cast("long").alias("id"), vectors.l2_normalize(vector_col).alias("v"))
-    left = unit.select(F.col("id").alias("q"), F.col("v").alias("x"))
-    right = unit.select(F.col("id").alias("n"), F.col("v").alias("y"))
-    return left.crossJoin(right).select("q", "n", F.round(vectors.inner_product("x", "y"), 6).alias("sim"))
-
-
 def to_long(knn: DataFrame, q: str, scores: str, indices: str, offset: int = 0) -> DataFrame:
     """Wide hit lists (one array of scores and one of indices per query) as rows (q, rk, n, sim).
 
@@ -163,3 +158,4 @@ def to_long(knn: DataFrame, q: str, scores: str, indices: str, offset: int = 0)
         .filter("z.i >= 0")
         .select("q", (F.col("rk") + 1).alias("rk"), (F.col("z.i") + offset).cast("long").alias("n"), F.col("z.s").cast("double").alias("sim"))
     )
+

@@ -2,7 +2,7 @@
 
 ``embeddings`` has no pair at the usual thresholds, so its queries use 0.45 for
 duplicates and 0.40 for clusters.  Queries over ``documents`` use token counts
-as vectors, at 0.9 and 0.7.  Similarities are rounded to 6 decimals before they
+as vectors, at 0.97.  Similarities are rounded to 6 decimals before they
 are ranked and compared, on both sides.
 """
 
@@ -112,8 +112,8 @@ def p5_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- vector expressions
 
 _UNIT = """
-n AS (SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS v FROM embeddings),
-u AS (SELECT vec_id, list_transform(v, x -> x / (sqrt(list_inner_product(v, v)) + 1e-12)) AS v FROM n)
+n AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+u AS (SELECT vec_id, list_transform(v, lambda x: x / (sqrt(list_inner_product(v, v)) + 1e-12)) AS v FROM n)
 """
 
 
@@ -148,8 +148,8 @@ s AS (SELECT a.vec_id AS q, b.vec_id AS n, round(list_inner_product(a.v, b.v), 6
 
 def _knn_sql(k: int) -> str:
     return (
-        f"{_SIM}, knn AS (SELECT * FROM (SELECT q, row_number() OVER (PARTITION BY q "
-        f"ORDER BY CASE WHEN q = n THEN 0 ELSE 1 END, sim DESC, n) AS rk, n, sim FROM s) WHERE rk <= {k})"
+        f"{_SIM}, knn AS (SELECT * FROM (SELECT q, CAST(row_number() OVER (PARTITION BY q "
+        f"ORDER BY CASE WHEN q = n THEN 0 ELSE 1 END, sim DESC, n) AS INTEGER) AS rk, n, sim FROM s) WHERE rk <= {k})"
     )
 
 
@@ -231,11 +231,11 @@ def dedup_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(
     f"""WITH {_SIM},
-z AS (SELECT CAST(ceil(count(*) / {SHARDS}.0) AS BIGINT) AS size FROM embeddings),
-c AS (SELECT q, n, n // size AS sn, q // size AS sq FROM (
-  SELECT *, row_number() OVER (PARTITION BY q, n // size ORDER BY CASE WHEN q = n THEN 0 ELSE 1 END, sim DESC, n) AS rk
-  FROM s, z) JOIN z ON true WHERE rk <= {K} AND sim > {DUPLICATE} AND q <> n),
-r0 AS (SELECT DISTINCT n AS id FROM c WHERE sn = 0 AND q < n AND n // (SELECT size FROM z) = 0),
+z AS (SELECT CAST(ceil(count(*) / {SHARDS}.0) AS BIGINT) AS width FROM embeddings),
+h AS (SELECT q, n, sim, n // width AS sn, q // width AS sq FROM s, z),
+c AS (SELECT q, n, sn, sq FROM (SELECT *, row_number() OVER (PARTITION BY q, sn
+  ORDER BY CASE WHEN q = n THEN 0 ELSE 1 END, sim DESC, n) AS rk FROM h) WHERE rk <= {K} AND sim > {DUPLICATE} AND q <> n),
+r0 AS (SELECT DISTINCT n AS id FROM c WHERE sn = 0 AND q < n),
 r1 AS (SELECT n AS id FROM c WHERE sn = 1 AND q < n
   UNION SELECT q FROM c WHERE sn = 0 AND sq = 1 AND n NOT IN (SELECT id FROM r0))
 SELECT id FROM r0 UNION SELECT id FROM r1"""
@@ -314,14 +314,16 @@ def cluster_bridge_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.bridge_groups(hits, spark.createDataFrame([], "id long"), CLUSTER)
 
 
-# --- token-count vectors of documents
+# --- token-count vectors of documents, hashed to a fixed number of dimensions
 
-_TOKENS = """
-t AS (SELECT doc_id, w, count(*) AS c FROM (
-  SELECT doc_id, unnest(string_split_regex(lower(text), '[ \\t\\n\\r]+')) AS w FROM documents WHERE text IS NOT NULL)
-  WHERE w <> '' GROUP BY ALL),
-l AS (SELECT doc_id, sqrt(sum(c * c)) AS len FROM t GROUP BY doc_id),
-s AS (SELECT x.doc_id AS q, y.doc_id AS n, sum(x.c * y.c) AS dot FROM t x JOIN t y USING (w) GROUP BY ALL),
+BUCKETS = 512
+
+_TOKENS = f"""
+t AS (SELECT doc_id, CAST('0x' || substr(md5(w), 1, 6) AS BIGINT) % {BUCKETS} AS k FROM (
+  SELECT doc_id, unnest(string_split_regex(lower(text), '[ \\t\\n\\r]+')) AS w FROM documents WHERE text IS NOT NULL) WHERE w <> ''),
+f AS (SELECT doc_id, k, count(*) AS c FROM t GROUP BY ALL),
+l AS (SELECT doc_id, sqrt(sum(c * c)) + 1e-12 AS len FROM f GROUP BY doc_id),
+s AS (SELECT x.doc_id AS q, y.doc_id AS n, sum(x.c * y.c) AS dot FROM f x JOIN f y USING (k) GROUP BY ALL),
 v AS (SELECT q, n, round(dot / (a.len * b.len), 6) AS sim FROM s JOIN l a ON a.doc_id = q JOIN l b ON b.doc_id = n),
 knn AS (SELECT * FROM (SELECT q, row_number() OVER (PARTITION BY q
   ORDER BY CASE WHEN q = n THEN 0 ELSE 1 END, sim DESC, n) AS rk, n, sim FROM v) WHERE rk <= 100)
@@ -329,25 +331,25 @@ knn AS (SELECT * FROM (SELECT q, row_number() OVER (PARTITION BY q
 
 
 def _document_hits(spark: SparkSession, sf_dir: str, k: int = 100) -> DataFrame:
-    """Hit lists of documents by the cosine of their token counts, as dense vectors of a hashed vocabulary.
-
-    The vocabulary is numbered, and each document's counts become one vector, so
-    the same blocked search serves.
-    """
+    """Hit lists of documents by the cosine of their token counts."""
     words = F.filter(F.split(F.lower("text"), "[ \\t\\n\\r]+"), lambda w: w != "")
+    bucket = lambda w: (F.conv(F.substring(F.md5(w), 1, 6), 16, 10).cast("int") % BUCKETS).cast("int")
     tokens = _table(spark, sf_dir, "documents").filter("text IS NOT NULL").select("doc_id", F.explode(words).alias("w"))
-    counts = runtime.written(tokens.groupBy("doc_id", "w").agg(F.count("*").alias("c")), "tokens")
-    return runtime.written(knn.sparse_topk(counts, k), "document-hits")
+    counts = tokens.select("doc_id", bucket(F.col("w")).alias("k")).groupBy("doc_id", "k").agg(F.count("*").alias("c"))
+    sparse = counts.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("k", F.col("c").cast("double")))).alias("m"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)))
+    vectors_ = runtime.written(sparse.select("doc_id", dense.alias("embedding")), "tokens")
+    return runtime.written(knn.exact_topk(vectors_, k, "doc_id"), "document-hits")
 
 
-@_query(f"WITH RECURSIVE {_TOKENS}, {_links_sql(0.9)}, {_CC} SELECT id, label AS kept FROM cc WHERE id <> label")
+@_query(f"WITH RECURSIVE {_TOKENS}, {_links_sql(0.97)}, {_CC} SELECT id, label AS kept FROM cc WHERE id <> label")
 def dedup_component_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return removal.component_removed(_document_hits(spark, sf_dir), 0.9)
+    return removal.component_removed(_document_hits(spark, sf_dir), 0.97)
 
 
-@_query(f"WITH {_TOKENS} SELECT DISTINCT n AS id FROM knn WHERE sim > 0.9 AND n > q")
+@_query(f"WITH {_TOKENS} SELECT DISTINCT n AS id FROM knn WHERE sim > 0.97 AND n > q")
 def dedup_greedy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return removal.greedy_removed(_document_hits(spark, sf_dir), 0.9)
+    return removal.greedy_removed(_document_hits(spark, sf_dir), 0.97)
 
 
 # --- reports
@@ -425,9 +427,9 @@ def label_names_other(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(
     _WALL
     + """, sz AS (SELECT group_id, count(*) AS size FROM groups GROUP BY group_id),
-top AS (SELECT group_id, row_number() OVER (ORDER BY size DESC, group_id) - 1 AS rank FROM sz)
+top AS (SELECT group_id, CAST(row_number() OVER (ORDER BY size DESC, group_id) - 1 AS INTEGER) AS rank FROM sz)
 SELECT rank, group_id, pos, member FROM (
-  SELECT rank, g.group_id, row_number() OVER (PARTITION BY g.group_id ORDER BY member) - 1 AS pos, member
+  SELECT rank, g.group_id, CAST(row_number() OVER (PARTITION BY g.group_id ORDER BY member) - 1 AS INTEGER) AS pos, member
   FROM groups g JOIN top USING (group_id) WHERE rank < 50) WHERE pos < 10"""
 )
 def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -516,7 +518,7 @@ SELECT list_pos,
     WHEN len(s) > 2 THEN s[-3] || '/' || s[-2] WHEN len(s) = 2 THEN s[-2] ELSE '' END AS dispatched,
   CASE WHEN coalesce(s[-3], '') = 'kiosk' THEN coalesce(s[-2], '') ELSE coalesce(s[-3], '') || '/' || coalesce(s[-2], '') END AS below,
   string_split(s[-1], '_pid')[1] AS scene,
-  TRY_CAST(nullif(regexp_extract(s[-1], 'cnt([0-9]+)(\\.|$)', 1), '') AS INTEGER) AS frame,
+  coalesce(TRY_CAST(nullif(regexp_extract(s[-1], 'cnt([0-9]+)(\\.|$)', 1), '') AS INTEGER), -1) AS frame,
   string_split(s[-1], '.')[1] AS stem,
   replace(folder, '/', '_') AS flat
 FROM (SELECT *, string_split(file_path, '/') AS s FROM data_list WHERE file_path IS NOT NULL)
@@ -533,7 +535,7 @@ def path_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
         names.class_of("file_path", "portraits").alias("dispatched"),
         names.class_below("file_path", "kiosk").alias("below"),
         names.scene_of(base).alias("scene"),
-        names.frame_of(base).alias("frame"),
+        F.coalesce(names.frame_of(base), F.lit(-1)).alias("frame"),
         names.stem_of(base).alias("stem"),
         names.flat_folder("folder").alias("flat"),
     )
@@ -556,7 +558,7 @@ def number_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(
-    """SELECT file_id, file_name, list_transform(CASE WHEN len(regexp_extract_all(file_name, '\\d+')) > 0 THEN regexp_extract_all(file_name, '\\d+') ELSE ['0'] END, x -> CAST(x AS BIGINT)) AS key
+    """SELECT file_id, file_name, list_transform(CASE WHEN len(regexp_extract_all(file_name, '\\d+')) > 0 THEN regexp_extract_all(file_name, '\\d+') ELSE ['0'] END, lambda x: CAST(x AS BIGINT)) AS key
 FROM fpath_files WHERE file_name IS NOT NULL"""
 )
 def natural_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -612,7 +614,7 @@ def catalog_miss(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WITH o AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS last FROM documents WHERE source IS NOT NULL),
 p AS (SELECT source, CASE WHEN last = 1 THEN source || '/origin.jpg' ELSE source || '/' || doc_id END AS path, doc_id, last = 1 AS is_origin FROM o)
 SELECT source AS folder, path AS file_path, 0 AS pos FROM p WHERE is_origin
-UNION ALL SELECT source, path, k FROM (SELECT source, path, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM p WHERE NOT is_origin) WHERE k < 9"""
+UNION ALL SELECT source, path, k FROM (SELECT source, path, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS INTEGER) AS k FROM p WHERE NOT is_origin) WHERE k < 9"""
 )
 def capped_per_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "documents").filter("source IS NOT NULL").select("source", "doc_id")

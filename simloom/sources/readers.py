@@ -58,7 +58,7 @@ def image_bytes(spark: SparkSession, folder: str, glob: str = "*.jpg") -> DataFr
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, at, line): lines with their order in the file.  Whole files are read one per row, as
     ordinals need it; very large catalogs belong in Parquet with a stored index."""
-    whole = spark.read.format("binaryFile").load(path).select("path", F.decode("content", F.lit("UTF-8")).alias("t"))
+    whole = spark.read.format("binaryFile").load(path).select("path", F.decode("content", "UTF-8").alias("t"))
     parts = whole.select(F.col("path").alias("file"), F.posexplode(F.split("t", "\n")).alias("at", "line"), F.size(F.split("t", "\n")).alias("c"))
     # a final line feed ends the last line, it begins none
     return parts.filter((F.col("at") < F.col("c") - 1) | (F.col("line") != "")).select("file", "at", "line")
@@ -96,7 +96,7 @@ def group_text(spark: SparkSession, path: str) -> DataFrame:
 def json_documents(spark: SparkSession, folder: str, glob: str = "*.json") -> DataFrame:
     """(path, json): one document per file, as text."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-    return reader.load(folder).select("path", F.decode("content", F.lit("UTF-8")).alias("json"))
+    return reader.load(folder).select("path", F.decode("content", "UTF-8").alias("json"))
 
 
 def npy_files(spark: SparkSession, folder: str) -> DataFrame:
