@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Input bytes one shuffle partition should stand for.
 PARTITION_BYTES = 64 << 20
+#: Estimates from here on are Spark's stand-in for sizes it does not know.
+UNKNOWN = 1 << 55
 
 
 def local_session(cores: int | str = 8, app: str = "simloom", **conf: object) -> SparkSession:
@@ -91,8 +93,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of ``df``; for a file scan the files' size."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    """The optimizer's size estimate of ``df``: for a file scan the files' size; 0 if it is not known."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return 0 if size >= UNKNOWN else size
 
 
 def fan_out(df: DataFrame, per_partition: int = PARTITION_BYTES, copies: float = 1.0) -> int:
