@@ -76,13 +76,18 @@ def frequencies(corpus: DataFrame, vocabulary: set[str], text_col: str) -> dict[
     return {r["w"]: r["n"] for r in rows.collect()}  # one row per item word at most
 
 
-def anchors(sequences: list[tuple[str, ...]], frequency: dict[str, int], words: int) -> dict[tuple[str, str], list[tuple[int, int]]]:
-    """Rarest neighbouring words of every run of ``words`` words: pair -> (sequence, place)."""
+def anchors(
+    sequences: list[tuple[str, ...]], frequency: dict[str, int], words: int
+) -> dict[tuple[str, str], list[tuple[int, int]]]:
+    """Rarest neighbouring words of every run of ``words`` words: pair -> (sequence, place).
+
+    Words that the corpus lacks come last: they can match nothing.
+    """
     out: dict[tuple[str, str], list[tuple[int, int]]] = defaultdict(list)
     for number, sequence in enumerate(sequences):
-        count = [frequency.get(w, 0) for w in sequence]
-        rank = [(min(x, y), max(x, y), k) for k, (x, y) in enumerate(zip(count, count[1:]))]
-        for k in {min(rank[lo : lo + words - 1])[2] for lo in range(len(sequence) - words + 1)}:
+        count = [frequency.get(w) or float("inf") for w in sequence]
+        rank = [(max(x, y) == float("inf"), min(x, y), max(x, y), k) for k, (x, y) in enumerate(zip(count, count[1:]))]
+        for k in {min(rank[lo : lo + words - 1])[3] for lo in range(len(sequence) - words + 1)}:
             out[sequence[k], sequence[k + 1]].append((number, k))
     return out
 
@@ -139,8 +144,7 @@ def leaked_passages(
     With ``slop`` 0 a run is exact: consecutive words on both sides, as long as
     possible.  With a larger ``slop`` it is a proximity match: up to ``slop``
     consecutive item words may differ inside a run, which still has ``words``
-    equal ones (and one run of ``words`` around an anchor pair); ``run`` counts
-    the equal words.
+    equal ones, half as many of them unbroken; ``run`` counts the equal words.
 
     Places are word positions from 0.  Null ids and texts on either side have no
     rows; items shorter than ``words`` words cannot leak; items of equal words
@@ -157,7 +161,7 @@ def leaked_passages(
     sequences = list(held)
     vocabulary = sorted({w for s in sequences for w in s})
     terms = {w: n for n, w in enumerate(vocabulary)}
-    anchor = anchors(sequences, frequencies(corpus, set(vocabulary), text_col), words)
+    anchor = anchors(sequences, frequencies(corpus, set(vocabulary), text_col), words if slop == 0 else max(2, words // 2))
     reach = max(map(len, sequences))
     index = postings(corpus, set(anchor), terms, reach, doc_col, text_col)
     index = runtime.written(index.distinct().sortWithinPartitions("term", "doc_id", "at"), "postings")

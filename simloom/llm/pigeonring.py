@@ -19,6 +19,9 @@ principle, which would allow the start its share of errors; the loss is a matter
 of probability, (1 - (1 - t/pi)^w)^windows for w bits, and is measured in the
 README.  A pair is emitted only at its first agreeing window, so candidates
 need no distinct.
+
+Large groups of exact copies go through this once, as one vector, and get their
+pairs at the end.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .. import bloom, grouping, kernels, runtime
 from ..operators.listing import clean_path
-from .permutation_index import encoded
+from .permutation_index import encoded, large_copies, sample_units
 
 #: Bits of a sketch, in 64-bit words.
 WORDS = 4
@@ -45,8 +48,8 @@ MARGIN = 2.4
 SLACK = 8
 #: int8 codes decide a cosine that is further than this from the threshold.
 CODE_ERROR = 0.006
-#: Rows of one window value that one group holds.
-BLOCK = 8192
+#: Rows of one window value that one group holds, and of the sample that shows hot values.
+BLOCK, SAMPLE = 8192, 16384
 
 
 def budget(threshold: float, ring: int = RING, margin: float = MARGIN) -> int:
@@ -102,7 +105,7 @@ def chain_masks(start: int, length: int, ring: int = RING) -> np.ndarray:
 
 
 def _candidates(
-    ids: np.ndarray, words: np.ndarray, side: np.ndarray, start_no: int, starts: np.ndarray, bits: int, most: int
+    ids: np.ndarray, words: np.ndarray, side: np.ndarray | None, start_no: int, starts: np.ndarray, bits: int, most: int
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (a < b) of one window value that pass the chain and the full Hamming check."""
     ring = words.shape[1] * 64
@@ -130,16 +133,60 @@ def _candidates(
         yield i[fresh], j[fresh]
 
 
-#: A posting's group is (window number, window value, pair of blocks).
-_VALUES, _BLOCKS = 1 << 28, 1 << 16
+#: A posting's group is (window number, window value, two blocks), from the top bit down.
+_VALUE, _BLOCK = 28, 14
+
+
+def hot_windows(sample: np.ndarray, starts: np.ndarray, bits: int, rows: int, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, blocks) of the window values that hold more than ``block`` rows, judging by the sample's sketches.
+
+    The estimate decides only how even the work is, never the result.
+    """
+    keys = [window(sample, int(s), bits).astype(np.int64) + (no << _VALUE) for no, s in enumerate(starts)]
+    found, held = np.unique(np.concatenate(keys), return_counts=True)
+    count = np.ceil(held * (rows / max(len(sample), 1)) / block).astype(np.int64)
+    # a value that one row of the sample shows is no sign of a hot one
+    hot = (count > 1) & (held > 1)
+    return found[hot], np.minimum(count[hot], (1 << _BLOCK) - 1)
+
+
+def own_block(ids: np.ndarray, blocks: np.ndarray | int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        mixed = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(33)).astype(np.int64) % blocks
 
 
-def candidate_pairs(coded: DataFrame, dim: int, threshold: float, rows: int, partitions: int) -> DataFrame:
-    """(a, b): pairs of ids within the Hamming budget that some chain brings together, each once."""
+def candidate_pairs(
+    coded: DataFrame, dim: int, threshold: float, rows: int, partitions: int, sample: np.ndarray | None = None
+) -> DataFrame:
+    """(a, b): pairs of ids within the Hamming budget that some chain brings together, each once.
+
+    ``sample``, some of the vectors, shows which window values are hot.  These
+    are cut into blocks by a hash of the id, and every pair of blocks is a group.
+    """
     bits = window_bits(rows)
     starts = window_starts(bits)
     planes = directions(dim)
     most = budget(threshold)
+    words_ = sketches(sample, planes) if sample is not None and len(sample) else np.empty((0, WORDS), np.uint64)
+    hot, hot_blocks = hot_windows(words_, starts, bits, rows, BLOCK)
+    blocks_of = dict(zip(hot.tolist(), hot_blocks.tolist()))
+
+    def grouped(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(group, position) of each posting; of one in a hot window, its groups."""
+        place = np.searchsorted(hot, keys)
+        is_hot = place < len(hot)
+        is_hot[is_hot] = hot[place[is_hot]] == keys[is_hot]
+        position = np.arange(len(keys))
+        if not is_hot.any():
+            return keys << (2 * _BLOCK), position
+        count = np.ones(len(keys), np.int64)
+        count[is_hot] = hot_blocks[place[is_hot]]
+        position = np.repeat(position, count)
+        other = np.arange(len(position)) - np.repeat(np.cumsum(count) - count, count)
+        own = own_block(ids[position], count[position])
+        pair = (np.minimum(own, other) << _BLOCK) + np.maximum(own, other)
+        return (keys[position] << (2 * _BLOCK)) + pair, position
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,12 +194,15 @@ def candidate_pairs(coded: DataFrame, dim: int, threshold: float, rows: int, par
             words = sketches(kernels.decode(grouping.fixed_binary(batch.column(1), np.int8, dim)), planes)
             for lo in range(0, len(ids), 8192):
                 part = words[lo : lo + 8192]
-                keys = [window(part, int(s), bits).astype(np.int64) + no * _VALUES for no, s in enumerate(starts)]
+                keys = [window(part, int(s), bits).astype(np.int64) + (no << _VALUE) for no, s in enumerate(starts)]
+                some = np.tile(ids[lo : lo + 8192], len(starts))
+                group, position = grouped(np.concatenate(keys), some)
+                row = position % len(part)
                 yield pa.record_batch(
                     [
-                        pa.array(np.concatenate(keys)),
-                        pa.array(np.tile(ids[lo : lo + 8192], len(starts))),
-                        *(pa.array(np.tile(part[:, w], len(starts)).view(np.int64)) for w in range(WORDS)),
+                        pa.array(group),
+                        pa.array(some[position]),
+                        *(pa.array(part[row, w].view(np.int64)) for w in range(WORDS)),
                     ],
                     ["grp", "id", *(f"w{w}" for w in range(WORDS))],
                 )
@@ -163,8 +213,10 @@ def candidate_pairs(coded: DataFrame, dim: int, threshold: float, rows: int, par
         ids = group["id"].to_numpy()
         ids, first = np.unique(ids, return_index=True)
         words = np.stack([group[f"w{w}"].to_numpy().view(np.uint64)[first] for w in range(WORDS)], axis=1)
-        start_no = int(group["grp"][0].as_py()) // _VALUES
-        for i, j in _candidates(ids, words, None, start_no, starts, bits, most):
+        number = int(group["grp"][0].as_py())
+        key, low, high = number >> (2 * _BLOCK), number >> _BLOCK & ((1 << _BLOCK) - 1), number & ((1 << _BLOCK) - 1)
+        side = None if low == high else own_block(ids, blocks_of[key])
+        for i, j in _candidates(ids, words, side, key >> _VALUE, starts, bits, most):
             if len(i):
                 yield pa.record_batch([ids[i], ids[j]], ["a", "b"])
 
@@ -222,8 +274,10 @@ def near_duplicate_vectors(
     result.  Other columns are ignored.
     """
     rows = df.count()
-    coded = encoded(df, id_col, vector_col, dim, np.int8)
-    pairs = candidate_pairs(coded, dim, threshold, rows, runtime.fan_out(df, copies=3))
+    sample = sample_units(df, id_col, vector_col, dim, SAMPLE, rows)
+    copies = runtime.written(large_copies(encoded(df, id_col, vector_col, dim)), "copies")
+    coded = encoded(df, id_col, vector_col, dim, np.int8).join(copies, "id", "left_anti")
+    pairs = candidate_pairs(coded, dim, threshold, rows, runtime.fan_out(df, copies=3), sample)
     close = _scored(pairs, coded, dim, np.int8).filter(F.col("cosine") >= threshold - CODE_ERROR)
     close = close.groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
     close = runtime.written(close, "close")
@@ -233,7 +287,21 @@ def near_duplicate_vectors(
     needed = bloom.likely(exact_units(df, id_col, vector_col, dim), "id", ends)
     exact = _scored(unsure, needed, dim, np.float32)
     exact = exact.filter(F.round("cosine", 6) >= threshold).select("a", "b")
-    return sure.unionByName(exact).distinct()
+    return _with_copies(sure.unionByName(exact), copies)
+
+
+def _with_copies(pairs: DataFrame, copies: DataFrame) -> DataFrame:
+    """Pairs of representatives and pairs inside their groups, for all copies."""
+    if copies.isEmpty():
+        return pairs.distinct()
+    own = copies.select("rep").distinct().select("rep", F.col("rep").alias("id"))
+    members = own.unionByName(copies.select("rep", "id"))
+    base = pairs.unionByName(own.select(F.col("rep").alias("a"), F.col("id").alias("b")))
+    left = members.select(F.col("rep").alias("ra"), F.col("id").alias("ia"))
+    right = members.select(F.col("rep").alias("rb"), F.col("id").alias("ib"))
+    wide = base.join(left, base["a"] == left["ra"], "left").join(right, base["b"] == right["rb"], "left")
+    ends = wide.select(F.coalesce("ia", "a").alias("x"), F.coalesce("ib", "b").alias("y")).filter("x <> y")
+    return ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def changed_copies(
