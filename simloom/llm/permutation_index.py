@@ -33,8 +33,11 @@ from .. import grouping, kernels, runtime
 
 #: Bounds of the number of pivots, and the number of vectors one pivot stands for.
 MIN_PIVOTS, MAX_PIVOTS, PER_PIVOT = 64, 4096, 240
-#: Length of the permutation prefix.
-PREFIX = 6
+#: Length of the permutation prefix, and how much less similar than its nearest
+#: pivot a vector's other pivots may be: one with a pivot close by needs no far ones.
+PREFIX, WITHIN = 8, 0.2
+#: Stands for no pivot in a prefix.
+_NONE = 0xFFFF
 #: Rows from which a group of equal vectors is searched once only.
 COPIES = 16
 #: Postings of one list that one group holds.
@@ -75,12 +78,15 @@ def sample_units(df: DataFrame, id_col: str, vector_col: str, dim: int, size: in
     return kernels.decode(table[np.sort(first)])
 
 
-def block_counts(sample: np.ndarray, pivots: np.ndarray, prefix: int, rows: int, block: int = BLOCK) -> np.ndarray:
+def block_counts(
+    sample: np.ndarray, pivots: np.ndarray, prefix: int, rows: int, block: int = BLOCK, within: float | None = None
+) -> np.ndarray:
     """Into how many blocks each list is cut, from the share of the sample it holds.
 
     The estimate decides only how even the work is, never the result.
     """
-    held = np.bincount(kernels.nearest(sample, pivots, prefix).ravel(), minlength=len(pivots))
+    lists = kernels.nearest(sample, pivots, prefix, within=within).ravel()
+    held = np.bincount(lists[lists >= 0], minlength=len(pivots))
     return np.maximum(1, np.ceil(held * (rows / max(len(sample), 1)) / block)).astype(np.int64)
 
 
@@ -106,7 +112,9 @@ def expand_blocks(lists: np.ndarray, ids: np.ndarray, blocks: np.ndarray) -> tup
     return lists[position] * _PAIRS + low * count[position] + high, side, position
 
 
-def _postings(source: DataFrame, pivots: np.ndarray, blocks: np.ndarray, dim: int, prefix: int) -> DataFrame:
+def _postings(
+    source: DataFrame, pivots: np.ndarray, blocks: np.ndarray, dim: int, prefix: int, within: float
+) -> DataFrame:
     """(grp, side, id, entry): entry is the prefix as uint16 followed by the int16 code."""
     shared = source.sparkSession.sparkContext.broadcast((pivots, blocks))
 
@@ -117,10 +125,10 @@ def _postings(source: DataFrame, pivots: np.ndarray, blocks: np.ndarray, dim: in
             ids = batch.column(0).to_numpy()
             for lo in range(0, len(ids), 4096):
                 part = code[lo : lo + 4096]
-                order = kernels.nearest(kernels.decode(part), table, prefix)
+                order = kernels.nearest(kernels.decode(part), table, prefix, within=within)
                 entry = np.concatenate([order.astype(np.uint16).view(np.int16), part], axis=1)
-                who = np.repeat(np.arange(len(part)), order.shape[1])
-                group, side, position = expand_blocks(order.ravel(), ids[lo:][who], count)
+                who, place = np.nonzero(order >= 0)
+                group, side, position = expand_blocks(order[who, place], ids[lo:][who], count)
                 who = who[position]
                 yield pa.record_batch(
                     [pa.array(group), pa.array(side), pa.array(ids[lo:][who]), grouping.to_binary(entry[who])],
@@ -130,35 +138,35 @@ def _postings(source: DataFrame, pivots: np.ndarray, blocks: np.ndarray, dim: in
     return source.mapInArrow(run, "grp long, side byte, id long, entry binary")
 
 
-def footrule_gain(pa_: np.ndarray, pb_: np.ndarray) -> np.ndarray:
-    """What common pivots take off the largest footrule distance of two prefixes.
+def footrule(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Footrule distance of pairs of prefixes, row by row.
 
-    For prefixes of length l, with a pivot that one side lacks placed at l+1,
-    the footrule distance is l(l+1) - sum over common pivots of
-    2 min(l+1-i, l+1-j), i and j being its places.  This returns half that sum.
+    A pivot that one prefix of length l lacks is placed at l+1 there.  So the
+    distance is l(l+1), less 2 min(l+1-i, l+1-j) for every common pivot, i and j
+    being its places.
     """
-    length = pa_.shape[1]
-    gain = np.zeros((len(pa_), len(pb_)), np.uint8)
-    for i in range(length):
-        for j in range(length):
-            same = pa_[:, i, None] == pb_[None, :, j]
-            gain += same.view(np.uint8) * np.uint8(length - max(i, j))
-    return gain
+    length = left.shape[1]
+    common = (left[:, :, None] == right[:, None, :]) & (left != _NONE)[:, :, None]
+    place = np.arange(length)
+    gain = length - np.maximum(place[:, None], place[None, :])
+    return length * (length + 1) - 2 * (common * gain).sum((1, 2))
 
 
 def _smaller_common(pa_: np.ndarray, pb_: np.ndarray, pivot: int) -> np.ndarray:
     """Row-wise: whether the two prefixes share a pivot smaller than ``pivot``."""
     same = pa_[:, :, None] == pb_[:, None, :]
-    return (same & (pa_ < pivot)[:, :, None]).any((1, 2))
+    return (same & (pa_ < pivot)[:, :, None]).any((1, 2))  # no pivot is never below one
 
 
 def list_pairs(
-    table: pa.Table, dim: int, prefix: int, threshold: float, least_gain: int, rows: int = 1024
+    table: pa.Table, dim: int, prefix: int, threshold: float, max_footrule: int, rows: int = 1024
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(ids, i, j, cosine) per block of rows of one inverted file.
 
     Pairs within the footrule limit and at the cosine or above, in both
-    directions, that no smaller common pivot brings.
+    directions, that no smaller common pivot brings.  The tests commute; the
+    cosines of a whole block are one BLAS product, cheaper than its footrule
+    distances, so they go first.
     """
     ids = table["id"].to_numpy()
     _, first = np.unique(ids, return_index=True)
@@ -167,14 +175,13 @@ def list_pairs(
     order, vectors = entry[:, :prefix].view(np.uint16), kernels.decode(entry[:, prefix:])
     pivot = table["grp"][0].as_py() // _PAIRS
     for lo in range(0, len(ids), rows):
-        gain = footrule_gain(order[lo : lo + rows], order)
         score = vectors[lo : lo + rows] @ vectors.T
-        i, j = np.nonzero((gain >= least_gain) & (score >= threshold - 1e-5))
+        i, j = np.nonzero(score >= threshold - 1e-5)
         cosine = np.round(np.minimum(score[i, j], 1.0).astype(np.float64), 6)
         i = i + lo
         keep = (i != j) & (cosine >= threshold) & ((side[i] == 0) | (side[i] != side[j]))
         i, j, cosine = i[keep], j[keep], cosine[keep]
-        keep = ~_smaller_common(order[i], order[j], pivot)
+        keep = (footrule(order[i], order[j]) <= max_footrule) & ~_smaller_common(order[i], order[j], pivot)
         yield ids, i[keep], j[keep], cosine[keep]
 
 
@@ -198,6 +205,7 @@ def similar_vectors(
     k: int = 5,
     threshold: float = 0.7,
     prefix: int = PREFIX,
+    within: float = WITHIN,
     max_footrule: int | None = None,
     pivots: int | None = None,
 ) -> DataFrame:
@@ -221,19 +229,19 @@ def similar_vectors(
         return spark.createDataFrame([], "q long, rk int, n long, cosine double")
     table = sample[:count]
     prefix = min(prefix, len(table))
-    blocks = block_counts(sample, table, prefix, rows)
-    least_gain = (prefix * (prefix + 1) - max_footrule) // 2 if max_footrule is not None else 1
+    blocks = block_counts(sample, table, prefix, rows, within=within)
+    limit = prefix * (prefix + 1) - 2 if max_footrule is None else max_footrule
 
     coded = encoded(df, id_col, vector_col, dim)
-    copies = runtime.written(_copies(coded), "copies")
+    copies = runtime.written(large_copies(coded), "copies")
     single = coded.join(copies, "id", "left_anti")
 
     def search(group: pa.Table) -> Iterable[pa.RecordBatch]:
-        parts = [_best(*found, k) for found in list_pairs(group, dim, prefix, threshold, least_gain)]
+        parts = [_best(*found, k) for found in list_pairs(group, dim, prefix, threshold, limit)]
         if sum(len(p[0]) for p in parts):
             yield pa.record_batch([np.concatenate(x) for x in zip(*parts)], ["q", "n", "cosine"])
 
-    postings = _postings(single, table, blocks, dim, prefix)
+    postings = _postings(single, table, blocks, dim, prefix, within)
     found = grouping.map_groups(
         postings, "grp", search, "q long, n long, cosine double", runtime.fan_out(df, copies=prefix * 0.6)
     )
@@ -242,7 +250,7 @@ def similar_vectors(
     return _with_copies(top.select("q", "rk", "n", "cosine"), copies, k)
 
 
-def _copies(coded: DataFrame) -> DataFrame:
+def large_copies(coded: DataFrame) -> DataFrame:
     """(id, rep): ids of large groups of equal codes, but for the smallest id, which stands for the group.
 
     Groups of fewer than ``COPIES`` rows are left to the search itself.
