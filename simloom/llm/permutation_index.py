@@ -32,10 +32,9 @@ from pyspark.sql import functions as F
 from .. import grouping, kernels, runtime
 
 #: Bounds of the number of pivots, and the number of vectors one pivot stands for.
-MIN_PIVOTS, MAX_PIVOTS, PER_PIVOT = 64, 4096, 240
-#: Length of the permutation prefix, and how much less similar than its nearest
-#: pivot a vector's other pivots may be: one with a pivot close by needs no far ones.
-PREFIX, WITHIN = 8, 0.2
+MIN_PIVOTS, MAX_PIVOTS, PER_PIVOT = 16, 4096, 240
+#: Length of the permutation prefix.
+PREFIX = 8
 #: Stands for no pivot in a prefix.
 _NONE = 0xFFFF
 #: Rows from which a group of equal vectors is searched once only.
@@ -45,9 +44,8 @@ BLOCK = 16384
 
 
 def pivot_count(rows: int) -> int:
-    """A power of two in proportion to the collection, within the fixed bounds."""
-    want = 1 << max(0, int(np.ceil(np.log2(max(rows, 1) / PER_PIVOT))))
-    return int(min(MAX_PIVOTS, max(MIN_PIVOTS, want)))
+    """In proportion to the collection, within the fixed bounds."""
+    return int(min(MAX_PIVOTS, max(MIN_PIVOTS, rows // PER_PIVOT)))
 
 
 def encoded(df: DataFrame, id_col: str, vector_col: str, dim: int, dtype: type = np.int16) -> DataFrame:
@@ -65,17 +63,81 @@ def encoded(df: DataFrame, id_col: str, vector_col: str, dim: int, dtype: type =
     return source.filter("id IS NOT NULL AND v IS NOT NULL").mapInArrow(run, "id long, code binary")
 
 
-def sample_units(df: DataFrame, id_col: str, vector_col: str, dim: int, size: int, rows: int) -> np.ndarray:
-    """At most ``size`` distinct usable vectors, in the order of a hash of their id."""
+def draw(df: DataFrame, id_col: str, vector_col: str, dim: int, size: int, rows: int) -> np.ndarray:
+    """int16 codes of at most ``size`` usable vectors, one per id, in the order of a hash of the id."""
     share = min(1.0, 1.3 * size / max(rows, 1) + 0.001)
     hashed = F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.lit(17)), F.lit(1 << 20))
     part = df if share >= 1 else df.filter(hashed < int(share * (1 << 20)) + 1)
-    got = encoded(part, id_col, vector_col, dim).orderBy(F.xxhash64("id", F.lit(17)), "id").limit(size).toArrow()
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # an id that comes again and again fills no more than a row a batch
+            _, first = np.unique(batch.column(0).to_numpy(), return_index=True)
+            yield batch.take(pa.array(np.sort(first)))
+
+    some = encoded(part, id_col, vector_col, dim).mapInArrow(once, "id long, code binary")
+    got = some.orderBy(F.xxhash64("id", F.lit(17)), "id").limit(size).toArrow()
     if got.num_rows == 0:
-        return np.empty((0, dim), np.float32)
-    table = grouping.fixed_binary(got["code"], np.int16, dim)
-    _, first = np.unique(table, axis=0, return_index=True)
-    return kernels.decode(table[np.sort(first)])
+        return np.empty((0, dim), np.int16)
+    _, first = np.unique(got["id"].to_numpy(), return_index=True)
+    return grouping.fixed_binary(got["code"], np.int16, dim)[np.sort(first)]
+
+
+def distinct_units(sample: np.ndarray) -> np.ndarray:
+    """The sample's different vectors, in its order."""
+    _, first = np.unique(sample, axis=0, return_index=True)
+    return kernels.decode(sample[np.sort(first)])
+
+
+def without_copies(
+    df: DataFrame, id_col: str, vector_col: str, dim: int, sample: np.ndarray, rows: int, dtype: type = np.int16
+) -> tuple[DataFrame, DataFrame | None]:
+    """(id, code) of the vectors, with large groups of equal ones once; and (id, rep) of the others of these groups.
+
+    The sample shows which vectors come very often (it holds at least three of
+    them); that decides how much is saved, never the result.  A group is stood
+    for by its smallest id.  Groups the sample does not show stay as they are.
+    """
+    many, count = np.unique(sample, axis=0, return_counts=True)
+    hot = many[(count >= 3) & (count * (rows / max(len(sample), 1)) >= COPIES)]
+    if len(hot) == 0:
+        return encoded(df, id_col, vector_col, dim, dtype), None
+    spark = df.sparkSession
+    shared = spark.sparkContext.broadcast({row.tobytes(): k for k, row in enumerate(hot)})
+
+    def run(inside: bool):
+        def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = shared.value
+            for batch in batches:
+                code = grouping.fixed_binary(batch.column(1), np.int16, dim)
+                number = np.array([known.get(row.tobytes(), -1) for row in code], np.int64)
+                at = np.nonzero((number >= 0) == inside)[0]
+                kept = batch.column(0).take(pa.array(at))
+                if inside:
+                    yield pa.record_batch([kept, pa.array(number[at])], ["id", "k"])
+                else:
+                    yield pa.record_batch([kept, grouping.to_binary(code[at])], ["id", "code"])
+
+        return go
+
+    exact = encoded(df, id_col, vector_col, dim)
+    members = runtime.written(exact.mapInArrow(run(True), "id long, k long"), "copies")
+    first = {r["k"]: r["id"] for r in members.groupBy("k").agg(F.min("id").alias("id")).collect()}  # one row a hot vector
+    stand = spark.createDataFrame([(i, hot[k].tobytes()) for k, i in first.items()], "id long, code binary")
+    reps = F.broadcast(spark.createDataFrame(list(first.items()), "k long, rep long"))
+    copies = members.join(reps, "k").filter("id <> rep").select("id", "rep").distinct()
+    coded = exact.mapInArrow(run(False), "id long, code binary").unionByName(stand)
+    if dtype is not np.int16:
+        coded = coded.mapInArrow(_recode(dim, dtype), "id long, code binary")
+    return coded, runtime.written(copies, "copies")
+
+
+def _recode(dim: int, dtype: type):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            units = kernels.decode(grouping.fixed_binary(batch.column(1), np.int16, dim)).astype(np.float64)
+            yield pa.record_batch([batch.column(0), grouping.to_binary(kernels.codes(units, dtype))], ["id", "code"])
+
+    return run
 
 
 def block_counts(
@@ -113,7 +175,7 @@ def expand_blocks(lists: np.ndarray, ids: np.ndarray, blocks: np.ndarray) -> tup
 
 
 def _postings(
-    source: DataFrame, pivots: np.ndarray, blocks: np.ndarray, dim: int, prefix: int, within: float
+    source: DataFrame, pivots: np.ndarray, blocks: np.ndarray, dim: int, prefix: int, within: float | None
 ) -> DataFrame:
     """(grp, side, id, entry): entry is the prefix as uint16 followed by the int16 code."""
     shared = source.sparkSession.sparkContext.broadcast((pivots, blocks))
@@ -205,7 +267,7 @@ def similar_vectors(
     k: int = 5,
     threshold: float = 0.7,
     prefix: int = PREFIX,
-    within: float = WITHIN,
+    within: float | None = None,
     max_footrule: int | None = None,
     pivots: int | None = None,
 ) -> DataFrame:
@@ -215,6 +277,8 @@ def similar_vectors(
     is by cosine descending, then id ascending.  Approximate: a neighbour is
     missed if the two share none of their ``prefix`` nearest pivots, or if their
     footrule distance is above ``max_footrule`` (default: any shared pivot will do).
+    ``within`` spares the postings of pivots that are less similar than the
+    nearest by more than that.
 
     Null, short, long, zero and non-finite vectors and null ids have no rows and
     are nobody's neighbour.  An id that comes several times counts once.  An
@@ -224,51 +288,40 @@ def similar_vectors(
     spark = df.sparkSession
     rows = df.count()
     count = pivots or pivot_count(rows)
-    sample = sample_units(df, id_col, vector_col, dim, 4 * count, rows)
-    if len(sample) == 0:
+    drawn = draw(df, id_col, vector_col, dim, 4 * count, rows)
+    if len(drawn) == 0:
         return spark.createDataFrame([], "q long, rk int, n long, cosine double")
+    sample = distinct_units(drawn)
     table = sample[:count]
     prefix = min(prefix, len(table))
     blocks = block_counts(sample, table, prefix, rows, within=within)
     limit = prefix * (prefix + 1) - 2 if max_footrule is None else max_footrule
-
-    coded = encoded(df, id_col, vector_col, dim)
-    copies = runtime.written(large_copies(coded), "copies")
-    single = coded.join(copies, "id", "left_anti")
+    single, copies = without_copies(df, id_col, vector_col, dim, drawn, rows)
 
     def search(group: pa.Table) -> Iterable[pa.RecordBatch]:
         parts = [_best(*found, k) for found in list_pairs(group, dim, prefix, threshold, limit)]
         if sum(len(p[0]) for p in parts):
-            yield pa.record_batch([np.concatenate(x) for x in zip(*parts)], ["q", "n", "cosine"])
+            q, n, cosine = (np.concatenate(x) for x in zip(*parts))
+            yield pa.record_batch([q, n, np.rint(cosine * 1e6).astype(np.int32)], ["q", "n", "millionths"])
 
     postings = _postings(single, table, blocks, dim, prefix, within)
     found = grouping.map_groups(
-        postings, "grp", search, "q long, n long, cosine double", runtime.fan_out(df, copies=prefix * 0.6)
+        postings, "grp", search, "q long, n long, millionths int", runtime.fan_out(df, copies=prefix * 0.6)
     )
-    ranked = Window.partitionBy("q").orderBy(F.col("cosine").desc(), "n")
+    ranked = Window.partitionBy("q").orderBy(F.col("millionths").desc(), "n")
     top = found.withColumn("rk", F.row_number().over(ranked)).filter(F.col("rk") <= k)
-    return _with_copies(top.select("q", "rk", "n", "cosine"), copies, k)
-
-
-def large_copies(coded: DataFrame) -> DataFrame:
-    """(id, rep): ids of large groups of equal codes, but for the smallest id, which stands for the group.
-
-    Groups of fewer than ``COPIES`` rows are left to the search itself.
-    """
-    keys = coded.select("id", F.xxhash64("code").alias("h"))
-    many = keys.groupBy("h").agg(F.min("id").alias("rep"), F.max("id").alias("last"), F.count("*").alias("c"))
-    many = many.filter((F.col("c") >= COPIES) & (F.col("rep") < F.col("last")))
-    return keys.join(many.select("h", "rep"), "h").filter("id <> rep").groupBy("id").agg(F.min("rep").alias("rep"))
+    top = top.select("q", "rk", "n", (F.col("millionths") / F.lit(1e6)).alias("cosine"))
+    return _with_copies(top, copies, k)
 
 
-def _with_copies(top: DataFrame, copies: DataFrame, k: int) -> DataFrame:
+def _with_copies(top: DataFrame, copies: DataFrame | None, k: int) -> DataFrame:
     """Neighbour lists of representatives carried over to all copies.
 
     A list needs only the ``k`` smallest ids of a group of copies (and one more
     for members of the group itself), so a group of any size adds ``k`` rows a
     list at most.
     """
-    if copies.isEmpty():
+    if copies is None:
         return top
     order = Window.partitionBy("rep").orderBy("id")
     firsts = copies.withColumn("o", F.row_number().over(order)).filter(F.col("o") <= k)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .. import bloom, grouping, kernels, runtime
 from ..operators.listing import clean_path
-from .permutation_index import encoded, large_copies, sample_units
+from .permutation_index import distinct_units, draw, without_copies
 
 #: Bits of a sketch, in 64-bit words.
 WORDS = 4
@@ -274,10 +274,9 @@ def near_duplicate_vectors(
     result.  Other columns are ignored.
     """
     rows = df.count()
-    sample = sample_units(df, id_col, vector_col, dim, SAMPLE, rows)
-    copies = runtime.written(large_copies(encoded(df, id_col, vector_col, dim)), "copies")
-    coded = encoded(df, id_col, vector_col, dim, np.int8).join(copies, "id", "left_anti")
-    pairs = candidate_pairs(coded, dim, threshold, rows, runtime.fan_out(df, copies=3), sample)
+    drawn = draw(df, id_col, vector_col, dim, min(SAMPLE, max(1024, rows // 60)), rows)
+    coded, copies = without_copies(df, id_col, vector_col, dim, drawn, rows, np.int8)
+    pairs = candidate_pairs(coded, dim, threshold, rows, runtime.fan_out(df, copies=3), distinct_units(drawn))
     close = _scored(pairs, coded, dim, np.int8).filter(F.col("cosine") >= threshold - CODE_ERROR)
     close = close.groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
     close = runtime.written(close, "close")
@@ -290,9 +289,9 @@ def near_duplicate_vectors(
     return _with_copies(sure.unionByName(exact), copies)
 
 
-def _with_copies(pairs: DataFrame, copies: DataFrame) -> DataFrame:
+def _with_copies(pairs: DataFrame, copies: DataFrame | None) -> DataFrame:
     """Pairs of representatives and pairs inside their groups, for all copies."""
-    if copies.isEmpty():
+    if copies is None:
         return pairs.distinct()
     own = copies.select("rep").distinct().select("rep", F.col("rep").alias("id"))
     members = own.unionByName(copies.select("rep", "id"))
