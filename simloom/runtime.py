@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -34,6 +35,21 @@ def local_session(cores: int | str = 8, app: str = "simloom", **conf: object) ->
     return session
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, once per application, through Spark's own file server."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="simloom-"), "simloom")
+    archive = shutil.make_archive(base, "zip", os.path.dirname(root), os.path.basename(root))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts.
 
