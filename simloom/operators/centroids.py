@@ -18,6 +18,22 @@ from .. import grouping, runtime
 from ..functions import vectors
 
 
+#: Classes whose sums a task holds before it sends them on.
+HELD = 4096
+
+
+def _sums(held: dict[object, list]) -> pa.RecordBatch:
+    return pa.record_batch(
+        [
+            pa.array(list(held), pa.int64()),
+            pa.array([v[0] for v in held.values()], pa.string()),
+            pa.array([v[1] for v in held.values()], pa.int64()),
+            pa.array([v[2].tolist() for v in held.values()], pa.list_(pa.float64())),
+        ],
+        ["k", "class", "n", "total"],
+    )
+
+
 def centroids(df: DataFrame, class_col: str = "label", vector_col: str = "embedding") -> DataFrame:
     """(class, n, centroid): mean vector and number of members of every class.
 
@@ -50,16 +66,11 @@ def centroids(df: DataFrame, class_col: str = "label", vector_col: str = "embedd
                     held[k][2] = held[k][2] + total[i]
                 else:
                     held[k] = [name[int(first[i])].as_py(), int(count[i]), total[i]]
+            if len(held) >= HELD:
+                yield _sums(held)
+                held = {}
         if held:
-            yield pa.record_batch(
-                [
-                    pa.array(list(held), pa.int64()),
-                    pa.array([v[0] for v in held.values()], pa.string()),
-                    pa.array([v[1] for v in held.values()], pa.int64()),
-                    pa.array([v[2].tolist() for v in held.values()], pa.list_(pa.float64())),
-                ],
-                ["k", "class", "n", "total"],
-            )
+            yield _sums(held)
 
     def merge(group: pa.Table) -> Iterable[pa.RecordBatch]:
         totals = [np.array(t) for t in group["total"].to_pylist()]
