@@ -41,7 +41,7 @@ from .permutation_index import distinct_units, draw, without_copies
 WORDS = 4
 RING = 64 * WORDS
 #: Bits of one segment of the ring.
-SEGMENT = 4
+SEGMENT = 2
 #: Standard deviations above the expected distance that the budget allows.
 MARGIN = 2.4
 #: Bits that a chain prefix may exceed its proportional budget by.
