@@ -81,13 +81,14 @@ def anchors(
 ) -> dict[tuple[str, str], list[tuple[int, int]]]:
     """Rarest neighbouring words of every run of ``words`` words: pair -> (sequence, place).
 
-    Words that the corpus lacks come last: they can match nothing.
+    A run with a word that the corpus lacks is nowhere in it and has no anchor.
     """
     out: dict[tuple[str, str], list[tuple[int, int]]] = defaultdict(list)
     for number, sequence in enumerate(sequences):
-        count = [frequency.get(w) or float("inf") for w in sequence]
-        rank = [(max(x, y) == float("inf"), min(x, y), max(x, y), k) for k, (x, y) in enumerate(zip(count, count[1:]))]
-        for k in {min(rank[lo : lo + words - 1])[3] for lo in range(len(sequence) - words + 1)}:
+        count = [frequency.get(w, 0) for w in sequence]
+        rank = [(min(x, y), max(x, y), k) for k, (x, y) in enumerate(zip(count, count[1:]))]
+        runs = (lo for lo in range(len(sequence) - words + 1) if min(count[lo : lo + words]) > 0)
+        for k in {min(rank[lo : lo + words - 1])[2] for lo in runs}:
             out[sequence[k], sequence[k + 1]].append((number, k))
     return out
 
@@ -162,6 +163,8 @@ def leaked_passages(
     vocabulary = sorted({w for s in sequences for w in s})
     terms = {w: n for n, w in enumerate(vocabulary)}
     anchor = anchors(sequences, frequencies(corpus, set(vocabulary), text_col), words if slop == 0 else max(2, words // 2))
+    if not anchor:
+        return spark.createDataFrame([], schema)
     reach = max(map(len, sequences))
     index = postings(corpus, set(anchor), terms, reach, doc_col, text_col)
     index = runtime.written(index.distinct().sortWithinPartitions("term", "doc_id", "at"), "postings")
