@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from .. import grouping, runtime
 from ..functions import vectors
 
-
 #: Classes whose sums a task holds before it sends them on.
 HELD = 4096
 
@@ -129,8 +128,9 @@ def flush_groups(df: DataFrame, folder: str, order: str) -> DataFrame:
     """Numbers the runs of equal ``folder`` along ``order`` (column ``run``, from 1).
 
     A scan of sorted shards closes a folder where the next begins; a folder that
-    comes back later is a run of its own.  A plain group-by ignores the order
-    and is what to use otherwise.
+    comes back later is a run of its own.  The order is one of all rows, so one
+    task numbers them: use it for the files of one scan.  A plain group-by ignores
+    the order and is what to use otherwise.
     """
     along = Window.orderBy(order)
     new = F.when(F.col(folder).eqNullSafe(F.lag(folder).over(along)) & F.lag(order).over(along).isNotNull(), 0).otherwise(1)
