@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from simloom.functions import names, vectors
-from simloom.operators import centroids, encode, labels, listing, shards
+from simloom.operators import centroids, encode, knn, labels, listing, shards
 from simloom.plans import pipelines
 from simloom.sinks import writers
 from simloom.sources import readers
@@ -226,3 +226,33 @@ def test_compactor_survives_repeats_and_new_files(spark, tmp_path, rows):
     again = compactor.entries(spark.createDataFrame([(4, "d", ["q", "r", "r"])], schema))
     again.write.mode("overwrite").parquet(compactor.batch_path(folder, 1))
     assert compactor.log_entries(spark, folder).count() == log
+
+
+def test_wide_hit_lists_become_rows(spark, rows):
+    df = spark.createDataFrame([(0, [1.0, 0.5, -9.0], [0, 2, -1])], "q long, cos array<float>, idx array<int>")
+    assert rows(knn.to_long(df, "q", "cos", "idx", offset=10)) == [(0, 1, 10, 1.0), (0, 2, 12, 0.5)]
+    twice = spark.createDataFrame([(0, 5, 0.9), (0, 0, 1.0), (0, 5, 0.9), (0, 7, 0.9)], "q long, n long, sim double")
+    assert rows(knn.merge_shards(twice, 2)) == [(0, 1, 0, 1.0), (0, 2, 5, 0.9)]
+
+
+def test_batches_hits_and_documents(spark, tmp_path, rows):
+    df = spark.createDataFrame([(0, 0, "a"), (1, 1, "b")], "batch int, data_index long, path string")
+    writers.write_batches(df, f"file://{tmp_path}/batches")
+    assert rows(spark.read.parquet(f"file://{tmp_path}/batches/batch=1")) == [(1, "b")]
+    hits = spark.createDataFrame([(0, 1, 1, 1, 1.0), (1, 1, 1, 5, 0.5)], "shard int, q long, rk int, n long, sim double")
+    writers.write_knn(hits, f"file://{tmp_path}/hits")
+    assert spark.read.parquet(f"file://{tmp_path}/hits").filter("shard = 1").count() == 1
+    (tmp_path / "docs").mkdir()
+    (tmp_path / "docs" / "a.json").write_text('{"a": 1}')
+    docs = readers.json_documents(spark, f"file://{tmp_path}/docs")
+    writers.write_json_documents(docs.select(labels.augment_json(docs, "json", {"b": F.lit("x")}).alias("json")), f"file://{tmp_path}/out")
+    assert json.loads(spark.read.text(f"file://{tmp_path}/out").first()["value"]) == {"a": "1", "b": "x"}
+    left = spark.createDataFrame([(0, "x")], "data_index long, a string")
+    with pytest.raises(ValueError, match="1 rows on one side but 2"):
+        readers.zip_by_index(left, df.select("data_index", "path"))
+    assert rows(names_union(spark)) == [(0, 1), (1, 2)]
+
+
+def names_union(spark):
+    parts = [spark.createDataFrame([(i + 1,)], "x long") for i in range(2)]
+    return readers.union_shards(parts).select("shard", "x")
