@@ -1,6 +1,6 @@
 """Near-duplicate vectors by pigeonring filtering of bit sketches.
 
-A vector becomes ``RING`` sign bits (one per random direction); two vectors at
+A vector becomes a ring of sign bits (one per random direction); two vectors at
 angle t differ in a share t/pi of them.  The bits form a ring of segments.  If
 two sketches differ in at most ``budget`` bits in all, then some chain of
 consecutive segments, from its start on, stays within its proportional part of
@@ -16,8 +16,8 @@ the budget (the pigeonring principle).  The operator
 
 Starting chains only where the window agrees exactly is stricter than the
 principle, which would allow the start its share of errors; the loss is a matter
-of probability, (1 - (1 - t/pi)^w)^windows for w bits, and is measured in the
-README.  A pair is emitted only at its first agreeing window, so candidates
+of probability.  Larger collections start with more bits, and get as many windows,
+on as long a ring, as keep it (``layout``).  It is measured in the README.  A pair is emitted only at its first agreeing window, so candidates
 need no distinct.
 
 Large groups of exact copies go through this once, as one vector, and get their
@@ -26,6 +26,7 @@ pairs at the end.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -37,14 +38,16 @@ from .. import bloom, grouping, kernels, runtime
 from ..operators.listing import clean_path
 from .permutation_index import distinct_units, draw, without_copies
 
-#: Bits of a sketch, in 64-bit words.
-WORDS = 4
-RING = 64 * WORDS
+#: Bits of the shortest sketch, and the lengths that a sketch may have.
+RING = 256
+RINGS = tuple(RING << k for k in range(5))
+#: Share of the pairs at cosine 0.9 of which some window agrees.
+MEET = 0.97
 #: Bits of one segment of the ring.
 SEGMENT = 2
 #: Standard deviations above the expected distance that the budget allows.
 MARGIN = 2.4
-#: Bits that a chain prefix may exceed its proportional budget by.
+#: Bits that a chain prefix may exceed its proportional budget by, on the shortest ring.
 SLACK = 8
 #: int8 codes decide a cosine that is further than this from the threshold.
 CODE_ERROR = 0.006
@@ -64,14 +67,44 @@ def window_bits(rows: int) -> int:
     return min(28, -(-want // SEGMENT) * SEGMENT)
 
 
-def window_starts(bits: int, ring: int = RING) -> np.ndarray:
-    """Where windows start.  Enough of them that 97 percent of pairs at 0.9 meet, as far as the ring has room."""
-    agree = (1 - np.arccos(0.9) / np.pi) ** bits
-    count = int(np.ceil(np.log(0.03) / np.log(1 - agree)))
-    count = min(ring // SEGMENT, count)
+def window_starts(count: int, ring: int = RING) -> np.ndarray:
+    """Where ``count`` windows start, evenly on the ring's segments."""
     return (np.arange(count) * (ring // SEGMENT) // count) * SEGMENT
 
 
+def meeting(starts: np.ndarray, bits: int, ring: int, cosine: float = 0.9) -> float:
+    """Probability that two vectors at ``cosine`` agree in a whole window.
+
+    Windows that overlap are counted jointly, by the length of the run of agreeing
+    bits from position to position.  Those that wrap around are left out.
+    """
+    agree = 1 - np.arccos(cosine) / np.pi
+    ends = set((starts + bits - 1).tolist())
+    run = np.zeros(bits + 1)  # chance of each run length (the last: this or more) with no window so far
+    run[0] = 1
+    for place in range(ring):
+        longer = run * agree
+        run[0] = run.sum() * (1 - agree)
+        run[1:] = longer[:-1]
+        run[-1] = 0 if place in ends else run[-1] + longer[-1]
+    return 1 - float(run.sum())
+
+
+@functools.lru_cache
+def layout(bits: int) -> tuple[int, np.ndarray]:
+    """(ring, window starts) with the fewest posted words of which ``MEET`` of the pairs at 0.9 have an agreeing window."""
+    agree = (1 - np.arccos(0.9) / np.pi) ** bits
+    apart = int(np.ceil(np.log(1 - MEET) / np.log(1 - agree)))  # windows that don't overlap need so many
+    found = []
+    for ring in RINGS:
+        for count in range(apart, min(ring // SEGMENT, (1 << _WINDOW) - 1) + 1):
+            starts = window_starts(count, ring)
+            if meeting(starts, bits, ring) >= MEET:
+                found.append((count * (2 + ring // 64), ring, starts))
+                break
+    return min(found, key=lambda x: x[:2])[1:]
+
+
 def directions(dim: int, ring: int = RING, seed: int = 7) -> np.ndarray:
     """Random directions, orthogonal in runs of ``dim``, which lowers the sketch's variance."""
     rng = np.random.default_rng(seed)
@@ -110,7 +143,8 @@ def _candidates(
     """Pairs (a < b) of one window value that pass the chain and the full Hamming check."""
     ring = words.shape[1] * 64
     masks = chain_masks(int(starts[start_no]), bits, ring)
-    budgets = [most * int(np.bitwise_count(m).sum()) / ring + SLACK for m in masks]
+    slack = SLACK * (ring / RING) ** 0.5
+    budgets = [most * int(np.bitwise_count(m).sum()) / ring + slack for m in masks]
     count = len(ids)
     step = max(1, (1 << 20) // max(count, 1))
     for lo in range(0, count, step):
@@ -134,7 +168,7 @@ def _candidates(
 
 
 #: A posting's group is (window number, window value, two blocks), from the top bit down.
-_VALUE, _BLOCK = 28, 14
+_WINDOW, _VALUE, _BLOCK = 9, 28, 13
 
 
 def hot_windows(sample: np.ndarray, starts: np.ndarray, bits: int, rows: int, block: int) -> tuple[np.ndarray, np.ndarray]:
@@ -165,10 +199,11 @@ def candidate_pairs(
     are cut into blocks by a hash of the id, and every pair of blocks is a group.
     """
     bits = window_bits(rows)
-    starts = window_starts(bits)
-    planes = directions(dim)
-    most = budget(threshold)
-    words_ = sketches(sample, planes) if sample is not None and len(sample) else np.empty((0, WORDS), np.uint64)
+    ring, starts = layout(bits)
+    planes = directions(dim, ring)
+    most = budget(threshold, ring)
+    words_count = ring // 64
+    words_ = sketches(sample, planes) if sample is not None and len(sample) else np.empty((0, words_count), np.uint64)
     hot, hot_blocks = hot_windows(words_, starts, bits, rows, BLOCK)
     blocks_of = dict(zip(hot.tolist(), hot_blocks.tolist()))
 
@@ -202,9 +237,9 @@ def candidate_pairs(
                     [
                         pa.array(group),
                         pa.array(some[position]),
-                        *(pa.array(part[row, w].view(np.int64)) for w in range(WORDS)),
+                        *(pa.array(part[row, w].view(np.int64)) for w in range(words_count)),
                     ],
-                    ["grp", "id", *(f"w{w}" for w in range(WORDS))],
+                    ["grp", "id", *(f"w{w}" for w in range(words_count))],
                 )
 
     def meet(group: pa.Table) -> Iterable[pa.RecordBatch]:
@@ -212,7 +247,7 @@ def candidate_pairs(
             return
         ids = group["id"].to_numpy()
         ids, first = np.unique(ids, return_index=True)
-        words = np.stack([group[f"w{w}"].to_numpy().view(np.uint64)[first] for w in range(WORDS)], axis=1)
+        words = np.stack([group[f"w{w}"].to_numpy().view(np.uint64)[first] for w in range(words_count)], axis=1)
         number = int(group["grp"][0].as_py())
         key, low, high = number >> (2 * _BLOCK), number >> _BLOCK & ((1 << _BLOCK) - 1), number & ((1 << _BLOCK) - 1)
         side = None if low == high else own_block(ids, blocks_of[key])
@@ -220,7 +255,7 @@ def candidate_pairs(
             if len(i):
                 yield pa.record_batch([ids[i], ids[j]], ["a", "b"])
 
-    fields = ", ".join(f"w{w} long" for w in range(WORDS))
+    fields = ", ".join(f"w{w} long" for w in range(words_count))
     postings = coded.mapInArrow(post, f"grp long, id long, {fields}")
     return grouping.map_groups(postings, "grp", meet, "a long, b long", partitions)
 
