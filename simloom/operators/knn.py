@@ -125,6 +125,54 @@ def exact_topk(
     return top if least is None else top.filter(F.col("sim") >= least)
 
 
+def preceded(
+    old: DataFrame, new: DataFrame, threshold: float, id_col: str = "id", vector_col: str = "embedding", block: int = BLOCK
+) -> DataFrame:
+    """(id): vectors of ``new`` with a smaller id, in ``old`` or ``new``, more similar than ``threshold``.
+
+    Exact, in blocks, as :func:`exact_topk`, but by existence and not by lists: however many
+    partners a vector has, none is left out.  Raises on the same unusable rows.
+    """
+    schema = "id long, code binary"
+    make = lambda df: df.select(F.col(id_col).cast("long").alias("id"), vectors.as_double(vector_col).alias("v"))
+    new, every = make(new), make(old).unionByName(make(new))
+    bad = F.col("id").isNull() | F.col("v").isNull() | F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
+    bounds = every.agg(
+        F.count("*").alias("rows"), F.min(F.size("v")).alias("lo"), F.max(F.size("v")).alias("hi"), F.count_if(bad).alias("bad")
+    ).first()
+    if bounds["rows"] == 0:
+        return new.select("id")
+    if bounds["bad"] or bounds["lo"] != bounds["hi"] or bounds["lo"] < 1:
+        raise ValueError(f"vectors must be finite and of one length: {bounds['bad']} bad rows, lengths {bounds['lo']} to {bounds['hi']}")
+    dim, blocks = bounds["lo"], max(1, -(-bounds["rows"] // block))
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, dim)
+            norm = np.sqrt((flat * flat).sum(1, keepdims=True))
+            yield pa.record_batch([batch.column(0), grouping.to_binary(flat / (norm + vectors.EPS))], ["id", "code"])
+
+    part = F.pmod(F.xxhash64("id"), F.lit(blocks))
+    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    place = lambda df, i, j, role: (
+        df.mapInArrow(coded, schema).withColumn("i", i).withColumn("j", j)
+        .select((F.col("i") * blocks + F.col("j")).alias("grp"), F.lit(role).cast("byte").alias("role"), "id", "code")
+    )
+    both = place(new, part, other, 0).unionByName(place(every, other, part, 1))
+
+    def search(group: pa.Table) -> Iterator[pa.RecordBatch]:
+        role, ids = group["role"].to_numpy(), group["id"].to_numpy()
+        vec = grouping.fixed_binary(group["code"], np.float64, dim)
+        q, n = np.nonzero(role == 0)[0], np.nonzero(role == 1)[0]
+        for lo in range(0, len(q), 1024):
+            at = q[lo : lo + 1024]
+            close = (np.round(vec[at] @ vec[n].T, 6) > threshold) & (ids[n][None, :] < ids[at][:, None])
+            yield pa.record_batch([ids[at][close.any(1)]], ["id"])
+
+    partitions = max(runtime.shuffle_partitions(new.sparkSession), blocks * blocks)
+    return grouping.map_groups(both, "grp", search, "id long", partitions).distinct()
+
+
 def merge_shards(knn: DataFrame, k: int) -> DataFrame:
     """The best ``k`` per query out of the hit lists of several shards; a hit listed twice counts once."""
     return ranked(knn.groupBy("q", "n").agg(F.max("sim").alias("sim")), k)

@@ -57,11 +57,12 @@ class IncrementalRemoval:
     """Greedy removal batch by batch: a vector goes if one that came before is too similar.
 
     The kept vectors are files in a shared folder, one set per batch number.  A
-    batch searches itself and the kept ones exactly, in blocks.
+    batch searches itself and the kept ones exactly, in blocks, for any earlier
+    vector above the threshold: groups of copies may be of any size.
     """
 
-    def __init__(self, spark: SparkSession, folder: str | None = None, threshold: float = 0.9, k: int = 100):
-        self.spark, self.threshold, self.k = spark, threshold, k
+    def __init__(self, spark: SparkSession, folder: str | None = None, threshold: float = 0.9):
+        self.spark, self.threshold = spark, threshold
         self.folder = folder or f"{runtime.checkpoint_dir(spark)}/kept-{uuid.uuid4().hex}"
         self.batches: list[int] = []
 
@@ -74,16 +75,13 @@ class IncrementalRemoval:
 
     def add(self, batch: DataFrame, number: int, id_col: str = "data_index", vector_col: str = "embedding") -> DataFrame:
         """(id): what the batch loses.  Ids must be larger than those of earlier batches."""
-        from ..operators import knn, removal
+        from ..operators import knn
 
         new = batch.select(F.col(id_col).cast("long").alias("id"), vectors.as_double(vector_col).alias("embedding"))
         if number in self.batches:  # a repeated batch starts from what was there before it
             self.batches = [b for b in self.batches if b < number]
         old = self.kept()
-        every = old.unionByName(new)
-        hits = knn.exact_topk(every, self.k, "id")
-        gone = removal.greedy_removed(hits, self.threshold).join(new.select("id"), "id", "left_semi")
-        gone = runtime.written(gone, "gone")
+        gone = runtime.written(knn.preceded(old, new, self.threshold), "gone")
         stay = new.join(gone, "id", "left_anti")
         stay.write.mode("overwrite").parquet(f"{self.folder}/batch-{number:012d}")
         self.batches.append(number)

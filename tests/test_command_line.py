@@ -91,6 +91,14 @@ def test_incremental_removal(spark, rows):
     assert sorted(r["id"] for r in state.kept().collect()) == [0, 2, 4]
 
 
+def test_incremental_removal_of_more_copies_than_any_list(spark):
+    state = folders.IncrementalRemoval(spark, threshold=0.9)
+    make = lambda ids: spark.createDataFrame([(i, [1.0, 2.0]) for i in ids], "data_index long, embedding array<double>")
+    assert state.add(make(range(300)), 0).count() == 299
+    assert state.add(make(range(300, 450)), 1).count() == 150
+    assert [r["id"] for r in state.kept().collect()] == [0]
+
+
 def test_the_rest_works_without_the_optional_package(tmp_path):
     code = (
         "import sys, importlib.abc\n"
