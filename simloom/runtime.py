@@ -14,6 +14,9 @@ PARTITION_BYTES = 64 << 20
 #: Estimates from here on are Spark's stand-in for sizes it does not know.
 UNKNOWN = 1 << 55
 
+#: How much older than the newest one a file of a stream may be; Spark's default, 7 days, drops late files for ever.
+FILE_AGE = "36500d"
+
 
 def local_session(cores: int | str = 8, app: str = "simloom", **conf: object) -> SparkSession:
     """A session for one machine, with the settings the tests and the bench use."""

@@ -65,6 +65,7 @@ def ingest(
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)
     system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    reader = reader.option("maxFileAge", runtime.FILE_AGE)
     if system.getFileStatus(path).isFile():  # a stream reads folders: this one's, narrowed to the file
         reader, path = reader.option("pathGlobFilter", path.getName()), path.getParent()
     stream = reader.parquet(path.toString())

@@ -36,7 +36,8 @@ def run_centroids(spark: SparkSession, source: str, schema: str, folder: str, fi
     Each micro-batch's sums are written under its number, so a repeated batch
     replaces its own; the centroids sum over batches.
     """
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    stream = stream.option("maxFileAge", runtime.FILE_AGE).parquet(source)
 
     def write(batch: DataFrame, number: int) -> None:
         position_sums(batch).write.mode("overwrite").parquet(f"{folder}/sums/batch={number:012d}")

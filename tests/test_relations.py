@@ -1,6 +1,7 @@
 """Names, labels, centroids, shards, sources, sinks, folders and the compactor."""
 
 import json
+import os
 
 import numpy as np
 import pytest
@@ -256,3 +257,16 @@ def test_batches_hits_and_documents(spark, tmp_path, rows):
 def names_union(spark):
     parts = [spark.createDataFrame([(i + 1,)], "x long") for i in range(2)]
     return readers.union_shards(parts).select("shard", "x")
+
+
+def test_a_late_file_with_an_old_time_is_taken_in(spark, rows, tmp_path):
+    schema = "file_id long, fpaths array<string>"
+    source, folder = tmp_path / "in", f"file://{tmp_path}/out"
+    spark.createDataFrame([(1, ["p"])], schema).coalesce(1).write.parquet(f"file://{source}")
+    assert rows(compactor.compact_files(spark, f"file://{source}", folder)) == [("p", 1, 0)]
+    spark.createDataFrame([(2, ["q"])], schema).coalesce(1).write.parquet(f"file://{tmp_path}/late")
+    late = next((tmp_path / "late").glob("*.parquet"))
+    old = late.stat().st_mtime - 400 * 86400
+    os.utime(late, (old, old))
+    late.rename(source / "late.parquet")
+    assert rows(compactor.compact_files(spark, f"file://{source}", folder)) == [("p", 1, 0), ("q", 2, 0)]
