@@ -2,8 +2,9 @@
 
 Every vector is represented by its nearest pivots in order of nearness (a
 permutation prefix).  It is posted in the inverted files of those pivots.  Two
-vectors that meet in an inverted file are ranked by the footrule distance of
-their prefixes; those within the limit are reranked by cosine.
+vectors that meet in an inverted file are ranked by cosine.  A limit of the
+footrule distance of their prefixes can be set; by default it lets every pair with
+a shared pivot through, so that it neither ranks nor filters.
 
 Layout
     pivots      a bounded sample of the data (``MAX_PIVOTS`` rows), sent to all
