@@ -265,7 +265,8 @@ def shared_spans(
     stored) around one fingerprint, extended by ``least - gram`` at most to
     either side; the rows of a longer stretch overlap and cover it.  Every pair
     of texts that shares ``least`` characters has a row.  The texts are taken in
-    as ``batches`` batches, by a hash of the id, into ``index``.
+    as ``batches`` batches, by a hash of the id, into ``index``, whose runs are
+    compacted at the end.
 
     Null ids and texts and texts shorter than ``least`` have no rows; rows of one
     id are one record, compared with others only.  An empty table gives an empty
@@ -278,6 +279,8 @@ def shared_spans(
         part = df.filter(F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(batches)) == number) if batches > 1 else df
         found = index.add(part, id_col, text_col)
         hits = found if hits is None else hits.unionByName(found)
+    if len(index.runs) > 1:  # the hits are written, so nothing reads the runs any more
+        index.compact()
     # a hash hit in several batches comes with ever larger counts; its last has all its rows
     hits = hits.groupBy("h", "doc_id", "at").agg(F.max("c").alias("c"))
     around = _surroundings(df, hits, id_col, text_col, index.least, index.gram)

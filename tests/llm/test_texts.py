@@ -260,3 +260,12 @@ def test_contraction_of_paths_and_stars(spark):
     assert len(got) == 71 + 30
     assert len({got[i] for i in range(71)}) == 1 and len({got[i] for i in range(200, 230)}) == 1
     assert got[0] != got[200]
+
+
+def test_shared_spans_leave_a_compacted_index(spark):
+    df = documents(spark, [(n, f"{n:03d} " * 20) for n in range(8)])
+    index = spans.SpanIndex(spark, least=30, gram=20)
+    spans.shared_spans(df, least=30, gram=20, index=index).count()
+    assert len(index.runs) == 1
+    want = sorted(tuple(r) for r in spans.fingerprints(df, "doc_id", "text", 30, 20).collect())
+    assert want and sorted(tuple(r) for r in index._read(index.runs).collect()) == want
