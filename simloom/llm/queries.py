@@ -76,6 +76,10 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_passages(spark, sf_dir).select("doc_id", "item_id").distinct()
 
 
+def p9_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaked_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items"), slop=2)
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.sharing_pairs(spans.shared_spans(_table(spark, sf_dir, "documents")))
 
@@ -88,7 +92,7 @@ def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         p1_found, p1_similar, p3_found, p3_groups, p4_found, p6_found, p6_splits, p7_found, p7_described,
-        p8_found, p8_packed, p8_fill, p9_found, p9_passages, p10_found, p10_shared,
+        p8_found, p8_packed, p8_fill, p9_found, p9_passages, p9_near, p10_found, p10_shared,
     ]
     return {f.__name__: f for f in named}
 

@@ -269,3 +269,15 @@ def test_shared_spans_leave_a_compacted_index(spark):
     assert len(index.runs) == 1
     want = sorted(tuple(r) for r in spans.fingerprints(df, "doc_id", "text", 30, 20).collect())
     assert want and sorted(tuple(r) for r in index._read(index.runs).collect()) == want
+
+
+def test_a_proximity_query_is_registered(spark, tmp_path):
+    from simloom.llm import queries
+
+    words = [f"w{n}" for n in range(20)]
+    changed = words[:8] + ["other"] + words[9:]
+    spark.createDataFrame([(1, " ".join(changed))], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(5, " ".join(words))], "item_id long, text string").write.parquet(f"{tmp_path}/eval_items.parquet")
+    named = queries.queries()
+    assert [tuple(r) for r in named["p9_near"](spark, str(tmp_path)).collect()] == [(1, 5, 0, 0, 19)]
+    assert named["p9_found"](spark, str(tmp_path)).count() == 0
