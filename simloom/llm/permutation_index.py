@@ -1,18 +1,20 @@
 """Most similar vectors for every vector, by a permutation index.
 
 Every vector is represented by its nearest pivots in order of nearness (a
-permutation prefix).  It is posted in the inverted files of those pivots.  Two
-vectors that meet in an inverted file are ranked by cosine.  A limit of the
-footrule distance of their prefixes can be set; by default it lets every pair with
-a shared pivot through, so that it neither ranks nor filters.
+permutation prefix) and posted in the inverted files of those pivots.  In an
+inverted file the candidates of a vector are ranked by the footrule distance of
+their prefixes; the ``RERANK`` best (with all that tie with the last) are reranked by
+cosine.
 
 Layout
-    pivots      a bounded sample of the data (``MAX_PIVOTS`` rows), sent to all
-                workers: at most 2 MB whatever the size of the collection
-    postings    (list, id, prefix ++ int16 code): one shuffle, ``prefix`` copies
-    lists       processed whole by one BLAS product per block of rows.  A list
-                beyond ``block`` postings is cut into blocks and its pairs of
-                blocks become separate groups, so no task holds a hot list
+    pivots      a bounded sample of the data, one for ``PER_PIVOT`` rows up to
+                ``MAX_PIVOTS``, sent to all workers: 32 MB at most whatever the
+                size of the collection.  Many pivots are searched in two levels
+    postings    (list, id, prefix ++ 12-bit code): one shuffle, ``prefix`` copies at
+                most; a vector close to a pivot is spared the lists of far ones
+    lists       footrule and cosines by blocks of rows.  A list beyond ``block``
+                postings is cut into blocks and its pairs of blocks become separate
+                groups, so no task holds a hot list
     merge       a pair is emitted only by the smallest pivot both sides share,
                 so every pair comes out once; each list returns its best ``k``
                 per query and a window keeps the best ``k`` of those
@@ -33,15 +35,19 @@ from pyspark.sql import functions as F
 from .. import grouping, kernels, runtime
 
 #: Bounds of the number of pivots, and the number of vectors one pivot stands for.
-MIN_PIVOTS, MAX_PIVOTS, PER_PIVOT = 16, 4096, 240
+MIN_PIVOTS, MAX_PIVOTS, PER_PIVOT = 16, 65535, 40
 #: Length of the permutation prefix.
-PREFIX = 8
+PREFIX = 10
+#: A vector is not posted under pivots that are less similar than its nearest by more than this.
+WITHIN = 0.2
+#: Candidates of a vector in one list that go on from the footrule ranking to the cosines.
+RERANK = 256
 #: Stands for no pivot in a prefix.
 _NONE = 0xFFFF
 #: Rows from which a group of equal vectors is searched once only.
 COPIES = 16
 #: Postings of one list that one group holds.
-BLOCK = 16384
+BLOCK = 8192
 
 
 def pivot_count(rows: int) -> int:
@@ -142,13 +148,13 @@ def _recode(dim: int, dtype: type):
 
 
 def block_counts(
-    sample: np.ndarray, pivots: np.ndarray, prefix: int, rows: int, block: int = BLOCK, within: float | None = None
+    sample: np.ndarray, pivots: kernels.Pivots, prefix: int, rows: int, block: int = BLOCK, within: float | None = None
 ) -> np.ndarray:
     """Into how many blocks each list is cut, from the share of the sample it holds.
 
     The estimate decides only how even the work is, never the result.
     """
-    lists = kernels.nearest(sample, pivots, prefix, within=within).ravel()
+    lists = pivots.nearest(sample, prefix, within=within).ravel()
     held = np.bincount(lists[lists >= 0], minlength=len(pivots))
     return np.maximum(1, np.ceil(held * (rows / max(len(sample), 1)) / block)).astype(np.int64)
 
@@ -176,9 +182,9 @@ def expand_blocks(lists: np.ndarray, ids: np.ndarray, blocks: np.ndarray) -> tup
 
 
 def _postings(
-    source: DataFrame, pivots: np.ndarray, blocks: np.ndarray, dim: int, prefix: int, within: float | None
+    source: DataFrame, pivots: kernels.Pivots, blocks: np.ndarray, dim: int, prefix: int, within: float | None
 ) -> DataFrame:
-    """(grp, side, id, entry): entry is the prefix as uint16 followed by the int16 code."""
+    """(grp, side, id, entry): entry is the prefix as uint16 followed by the code in 12 bits a number."""
     shared = source.sparkSession.sparkContext.broadcast((pivots, blocks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,8 +194,9 @@ def _postings(
             ids = batch.column(0).to_numpy()
             for lo in range(0, len(ids), 4096):
                 part = code[lo : lo + 4096]
-                order = kernels.nearest(kernels.decode(part), table, prefix, within=within)
-                entry = np.concatenate([order.astype(np.uint16).view(np.int16), part], axis=1)
+                order = table.nearest(kernels.decode(part), prefix, within=within)
+                short = kernels.pack12(np.rint(part * (2047 / 32767)))
+                entry = np.concatenate([order.astype(np.uint16).view(np.uint8), short], axis=1)
                 who, place = np.nonzero(order >= 0)
                 group, side, position = expand_blocks(order[who, place], ids[lo:][who], count)
                 who = who[position]
@@ -221,30 +228,58 @@ def _smaller_common(pa_: np.ndarray, pb_: np.ndarray, pivot: int) -> np.ndarray:
     return (same & (pa_ < pivot)[:, :, None]).any((1, 2))  # no pivot is never below one
 
 
+def footrule_gains(order: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """What the common pivots take off the footrule distance, halved: rows ``lo`` to ``hi`` against all.
+
+    The distance of two prefixes of length l is l(l+1) less twice this, so the
+    ranking by it from above is the ranking by the distance from below.
+    """
+    length = order.shape[1]
+    own = order[lo:hi]
+    known = np.unique(own[own != _NONE])
+    place = np.full(1 << 16, len(known), np.int64)  # the last row stands for the pivots that no query has
+    place[known] = np.arange(len(known))
+    weight = np.zeros((len(known) + 1, len(order)), np.uint8)
+    columns = np.arange(len(order))
+    for t in range(length):
+        weight[place[order[:, t]], columns] = length - t
+    weight[-1] = 0
+    gain = np.zeros((hi - lo, len(order)), np.uint8)
+    for t in range(length):
+        gain += np.minimum(weight[place[own[:, t]]], np.uint8(length - t))
+    return gain
+
+
 def list_pairs(
-    table: pa.Table, dim: int, prefix: int, threshold: float, max_footrule: int, rows: int = 1024
+    table: pa.Table, dim: int, prefix: int, threshold: float, rerank: int, rows: int = 256
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(ids, i, j, cosine) per block of rows of one inverted file.
 
-    Pairs within the footrule limit and at the cosine or above, in both
-    directions, that no smaller common pivot brings.  The tests commute; the
-    cosines of a whole block are one BLAS product, cheaper than its footrule
-    distances, so they go first.
+    Every row's candidates are ranked by footrule distance; the best ``rerank`` and
+    those as near as the last of them are reranked by cosine.  Pairs at the cosine
+    or above come out, in both directions, that no smaller common pivot brings.
     """
     ids = table["id"].to_numpy()
     _, first = np.unique(ids, return_index=True)
     ids, side = ids[first], table["side"].to_numpy()[first]
-    entry = grouping.fixed_binary(table["entry"], np.int16, prefix + dim)[first]
-    order, vectors = entry[:, :prefix].view(np.uint16), kernels.decode(entry[:, prefix:])
+    entry = grouping.fixed_binary(table["entry"], np.uint8, 2 * prefix + dim // 2 * 3)[first]
+    order = np.ascontiguousarray(entry[:, : 2 * prefix]).view(np.uint16)
+    vectors = kernels.decode(kernels.unpack12(np.ascontiguousarray(entry[:, 2 * prefix :])))
     pivot = table["grp"][0].as_py() // _PAIRS
     for lo in range(0, len(ids), rows):
-        score = vectors[lo : lo + rows] @ vectors.T
-        i, j = np.nonzero(score >= threshold - 1e-5)
+        hi = min(lo + rows, len(ids))
+        score = vectors[lo:hi] @ vectors.T
+        near = score >= threshold - 1e-5
+        if len(ids) > rerank + 1:
+            gain = footrule_gains(order, lo, hi)
+            at = len(ids) - rerank - 1  # the row itself is one of those above
+            near &= gain >= np.partition(gain, at, axis=1)[:, at : at + 1]
+        i, j = np.nonzero(near)
         cosine = np.round(np.minimum(score[i, j], 1.0).astype(np.float64), 6)
         i = i + lo
         keep = (i != j) & (cosine >= threshold) & ((side[i] == 0) | (side[i] != side[j]))
         i, j, cosine = i[keep], j[keep], cosine[keep]
-        keep = (footrule(order[i], order[j]) <= max_footrule) & ~_smaller_common(order[i], order[j], pivot)
+        keep = ~_smaller_common(order[i], order[j], pivot)
         yield ids, i[keep], j[keep], cosine[keep]
 
 
@@ -268,51 +303,74 @@ def similar_vectors(
     k: int = 5,
     threshold: float = 0.7,
     prefix: int = PREFIX,
-    within: float | None = None,
-    max_footrule: int | None = None,
+    within: float | None = WITHIN,
+    rerank: int = RERANK,
     pivots: int | None = None,
+    exact: bool = False,
 ) -> DataFrame:
     """(q, rk, n, cosine): up to ``k`` most similar other vectors of every vector.
 
-    ``cosine`` is rounded to 6 decimals and within 1e-5 of the exact one; rank
-    is by cosine descending, then id ascending.  Approximate: a neighbour is
-    missed if the two share none of their ``prefix`` nearest pivots, or if their
-    footrule distance is above ``max_footrule`` (default: any shared pivot will do).
-    ``within`` spares the postings of pivots that are less similar than the
-    nearest by more than that.
+    ``cosine`` is rounded to 6 decimals; it comes from codes of 12 bits a number,
+    within about 3e-4 of the true one, or, with ``exact``, from the vectors themselves
+    (the members of the lists stay, their order and the threshold are exact then).
+    Rank is by cosine descending, then id ascending.
+
+    Approximate: a neighbour is missed if the two share none of their ``prefix``
+    nearest pivots (those within ``within`` of the nearest one's similarity), or if,
+    in the list where they meet, ``rerank`` others are nearer by footrule distance.
 
     Null, short, long, zero and non-finite vectors and null ids have no rows and
     are nobody's neighbour.  An id that comes several times counts once.  An
     empty table gives an empty result.  Other columns are ignored, whatever
-    their names.
+    their names.  ``dim`` is even.
     """
     spark = df.sparkSession
     rows = df.count()
     count = pivots or pivot_count(rows)
-    drawn = draw(df, id_col, vector_col, dim, 4 * count, rows)
+    drawn = draw(df, id_col, vector_col, dim, 2 * count, rows)
     if len(drawn) == 0:
         return spark.createDataFrame([], "q long, rk int, n long, cosine double")
     sample = distinct_units(drawn)
-    table = sample[:count]
+    table = kernels.Pivots(sample[:count])
     prefix = min(prefix, len(table))
     blocks = block_counts(sample, table, prefix, rows, within=within)
-    limit = prefix * (prefix + 1) - 2 if max_footrule is None else max_footrule
     single, copies = without_copies(df, id_col, vector_col, dim, drawn, rows)
 
     def search(group: pa.Table) -> Iterable[pa.RecordBatch]:
-        parts = [_best(*found, k) for found in list_pairs(group, dim, prefix, threshold, limit)]
+        parts = [_best(*found, k) for found in list_pairs(group, dim, prefix, threshold, rerank)]
         if sum(len(p[0]) for p in parts):
             q, n, cosine = (np.concatenate(x) for x in zip(*parts))
             yield pa.record_batch([q, n, np.rint(cosine * 1e6).astype(np.int32)], ["q", "n", "millionths"])
 
     postings = _postings(single, table, blocks, dim, prefix, within)
     found = grouping.map_groups(
-        postings, "grp", search, "q long, n long, millionths int", runtime.fan_out(df, copies=prefix * 0.6)
+        postings, "grp", search, "q long, n long, millionths int", runtime.fan_out(df, copies=prefix * 0.4)
     )
     ranked = Window.partitionBy("q").orderBy(F.col("millionths").desc(), "n")
     top = found.withColumn("rk", F.row_number().over(ranked)).filter(F.col("rk") <= k)
     top = top.select("q", "rk", "n", (F.col("millionths") / F.lit(1e6)).alias("cosine"))
-    return _with_copies(top, copies, k)
+    top = _with_copies(top, copies, k)
+    return _exactly(top, df, id_col, vector_col, dim, threshold) if exact else top
+
+
+def _exactly(top: DataFrame, df: DataFrame, id_col: str, vector_col: str, dim: int, threshold: float) -> DataFrame:
+    """The lists with cosines of the vectors themselves, each unordered pair computed once."""
+    from .pigeonring import exact_units, scored
+
+    top = runtime.written(top.select("q", "n"), "neighbours")
+    pairs = top.select(F.least("q", "n").alias("a"), F.greatest("q", "n").alias("b")).distinct()
+    units = exact_units(df, id_col, vector_col, dim).dropDuplicates(["id"])
+    true = scored(pairs, units, dim, np.float32).select("a", "b", F.round("cosine", 6).alias("cosine"))
+    both = true.select(F.col("a").alias("q"), F.col("b").alias("n"), "cosine").unionByName(
+        true.select(F.col("b").alias("q"), F.col("a").alias("n"), "cosine")
+    )
+    ranked = Window.partitionBy("q").orderBy(F.col("cosine").desc(), "n")
+    return (
+        top.join(both, ["q", "n"])
+        .filter(F.col("cosine") >= threshold)
+        .withColumn("rk", F.row_number().over(ranked))
+        .select("q", "rk", "n", "cosine")
+    )
 
 
 def _with_copies(top: DataFrame, copies: DataFrame | None, k: int) -> DataFrame:

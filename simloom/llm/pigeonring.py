@@ -260,7 +260,7 @@ def candidate_pairs(
     return grouping.map_groups(postings, "grp", meet, "a long, b long", partitions)
 
 
-def _scored(
+def scored(
     pairs: DataFrame, vectors: DataFrame, dim: int, dtype: type
 ) -> DataFrame:
     """(a, b, cosine): pairs with the cosine of their codes."""
@@ -312,14 +312,14 @@ def near_duplicate_vectors(
     drawn = draw(df, id_col, vector_col, dim, min(SAMPLE, max(1024, rows // 60)), rows)
     coded, copies = without_copies(df, id_col, vector_col, dim, drawn, rows, np.int8)
     pairs = candidate_pairs(coded, dim, threshold, rows, runtime.fan_out(df, copies=3), distinct_units(drawn))
-    close = _scored(pairs, coded, dim, np.int8).filter(F.col("cosine") >= threshold - CODE_ERROR)
+    close = scored(pairs, coded, dim, np.int8).filter(F.col("cosine") >= threshold - CODE_ERROR)
     close = close.groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
     close = runtime.written(close, "close")
     sure = close.filter(F.col("cosine") >= threshold + CODE_ERROR).select("a", "b")
     unsure = close.filter(F.col("cosine") < threshold + CODE_ERROR).select("a", "b")
     ends = unsure.select(F.explode(F.array("a", "b")).alias("id"))
     needed = bloom.likely(exact_units(df, id_col, vector_col, dim), "id", ends)
-    exact = _scored(unsure, needed, dim, np.float32)
+    exact = scored(unsure, needed, dim, np.float32)
     exact = exact.filter(F.round("cosine", 6) >= threshold).select("a", "b")
     return _with_copies(sure.unionByName(exact), copies)
 

@@ -20,7 +20,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return permutation_index.similar_vectors(_table(spark, sf_dir, "face_embs"))
+    return permutation_index.similar_vectors(_table(spark, sf_dir, "face_embs"), exact=True)
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
