@@ -10,7 +10,7 @@ Layout
     pivots      a bounded sample of the data, one for ``PER_PIVOT`` rows up to
                 ``MAX_PIVOTS``, sent to all workers: 32 MB at most whatever the
                 size of the collection.  Many pivots are searched in two levels
-    postings    (list, id, prefix ++ 12-bit code): one shuffle, ``prefix`` copies at
+    postings    (list, id ++ prefix ++ 12-bit code): one shuffle, ``prefix`` copies at
                 most; a vector close to a pivot is spared the lists of far ones
     lists       footrule and cosines by blocks of rows.  A list beyond ``block``
                 postings is cut into blocks and its pairs of blocks become separate
@@ -39,7 +39,7 @@ MIN_PIVOTS, MAX_PIVOTS, PER_PIVOT = 16, 65535, 40
 #: Length of the permutation prefix.
 PREFIX = 10
 #: A vector is not posted under pivots that are less similar than its nearest by more than this.
-WITHIN = 0.2
+WITHIN = 0.15
 #: Candidates of a vector in one list that go on from the footrule ranking to the cosines.
 RERANK = 256
 #: Stands for no pivot in a prefix.
@@ -184,7 +184,7 @@ def expand_blocks(lists: np.ndarray, ids: np.ndarray, blocks: np.ndarray) -> tup
 def _postings(
     source: DataFrame, pivots: kernels.Pivots, blocks: np.ndarray, dim: int, prefix: int, within: float | None
 ) -> DataFrame:
-    """(grp, side, id, entry): entry is the prefix as uint16 followed by the code in 12 bits a number."""
+    """(grp, entry): entry is the id, the side, the prefix as uint16 and the code in 12 bits a number."""
     shared = source.sparkSession.sparkContext.broadcast((pivots, blocks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,16 +196,18 @@ def _postings(
                 part = code[lo : lo + 4096]
                 order = table.nearest(kernels.decode(part), prefix, within=within)
                 short = kernels.pack12(np.rint(part * (2047 / 32767)))
-                entry = np.concatenate([order.astype(np.uint16).view(np.uint8), short], axis=1)
-                who, place = np.nonzero(order >= 0)
-                group, side, position = expand_blocks(order[who, place], ids[lo:][who], count)
-                who = who[position]
-                yield pa.record_batch(
-                    [pa.array(group), pa.array(side), pa.array(ids[lo:][who]), grouping.to_binary(entry[who])],
-                    ["grp", "side", "id", "entry"],
+                own = ids[lo : lo + 4096]
+                none = np.zeros((len(part), 2), np.uint8)
+                entry = np.concatenate(
+                    [own.astype(np.int64).view(np.uint8).reshape(-1, 8), none, order.astype(np.uint16).view(np.uint8), short], axis=1
                 )
+                who, place = np.nonzero(order >= 0)
+                group, side, position = expand_blocks(order[who, place], own[who], count)
+                entry = entry[who[position]]
+                entry[:, 8] = side
+                yield pa.record_batch([pa.array(group), grouping.to_binary(entry)], ["grp", "entry"])
 
-    return source.mapInArrow(run, "grp long, side byte, id long, entry binary")
+    return source.mapInArrow(run, "grp long, entry binary")
 
 
 def footrule(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -259,12 +261,13 @@ def list_pairs(
     those as near as the last of them are reranked by cosine.  Pairs at the cosine
     or above come out, in both directions, that no smaller common pivot brings.
     """
-    ids = table["id"].to_numpy()
-    _, first = np.unique(ids, return_index=True)
-    ids, side = ids[first], table["side"].to_numpy()[first]
-    entry = grouping.fixed_binary(table["entry"], np.uint8, 2 * prefix + dim // 2 * 3)[first]
-    order = np.ascontiguousarray(entry[:, : 2 * prefix]).view(np.uint16)
-    vectors = kernels.decode(kernels.unpack12(np.ascontiguousarray(entry[:, 2 * prefix :])))
+    entry = grouping.fixed_binary(table["entry"], np.uint8, 10 + 2 * prefix + dim // 2 * 3)
+    ids = np.ascontiguousarray(entry[:, :8]).view(np.int64)[:, 0]
+    ids, first = np.unique(ids, return_index=True)
+    entry = entry[first]
+    side = entry[:, 8]
+    order = np.ascontiguousarray(entry[:, 10 : 10 + 2 * prefix]).view(np.uint16)
+    vectors = kernels.decode(kernels.unpack12(np.ascontiguousarray(entry[:, 10 + 2 * prefix :])))
     pivot = table["grp"][0].as_py() // _PAIRS
     for lo in range(0, len(ids), rows):
         hi = min(lo + rows, len(ids))
@@ -327,7 +330,7 @@ def similar_vectors(
     spark = df.sparkSession
     rows = df.count()
     count = pivots or pivot_count(rows)
-    drawn = draw(df, id_col, vector_col, dim, 2 * count, rows)
+    drawn = draw(df, id_col, vector_col, dim, count + count // 2, rows)
     if len(drawn) == 0:
         return spark.createDataFrame([], "q long, rk int, n long, cosine double")
     sample = distinct_units(drawn)

@@ -55,6 +55,10 @@ def p7_described(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bisecting.describe_clusters(vectors, bisecting.vector_clusters(vectors))
 
 
+def p7_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bisecting.described_leaves(_table(spark, sf_dir, "face_embs"))
+
+
 def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = packing.runtime.written(packing.token_counts(_table(spark, sf_dir, "documents")), "counts")
     return packing.pack(counts)
@@ -91,7 +95,7 @@ def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
-        p1_found, p1_similar, p3_found, p3_groups, p4_found, p6_found, p6_splits, p7_found, p7_described,
+        p1_found, p1_similar, p3_found, p3_groups, p4_found, p6_found, p6_splits, p7_found, p7_described, p7_leaves,
         p8_found, p8_packed, p8_fill, p9_found, p9_passages, p9_near, p10_found, p10_shared,
     ]
     return {f.__name__: f for f in named}
