@@ -7,9 +7,10 @@ consecutive segments, from its start on, stays within its proportional part of
 the budget (the pigeonring principle).  The operator
 
 1. indexes chains: a vector is posted once per window, a window being the first
-   segments of a chain, and two vectors meet where these agree bit for bit;
-2. follows the chain around the ring segment by segment, requiring each prefix
-   of it to stay within its proportional budget plus ``SLACK`` bits;
+   bits of a chain, and two vectors meet where these agree bit for bit;
+2. follows the chain around the ring segment by segment, requiring every prefix
+   of it to stay within its proportional budget plus ``SLACK`` bits.  The prefix of
+   ``HEAD`` is tested first, for a block of pairs at once by a product of signs;
 3. checks the full Hamming distance of the survivors;
 4. checks the cosine of what is left: int8 codes decide the clear cases, the
    exact vectors the few near the threshold.
@@ -17,8 +18,9 @@ the budget (the pigeonring principle).  The operator
 Starting chains only where the window agrees exactly is stricter than the
 principle, which would allow the start its share of errors; the loss is a matter
 of probability.  Larger collections start with more bits, and get as many windows,
-on as long a ring, as keep it (``layout``).  It is measured in the README.  A pair is emitted only at its first agreeing window, so candidates
-need no distinct.
+on as long a ring, as keep it (``layout``): 11 for up to a million rows, 39 for fifty
+million.  It is measured in the README.  A pair is emitted only at its first window
+that agrees and whose chain passes, so candidates need no distinct.
 
 Large groups of exact copies go through this once, as one vector, and get their
 pairs at the end.
@@ -43,12 +45,14 @@ RING = 256
 RINGS = tuple(RING << k for k in range(5))
 #: Share of the pairs at cosine 0.9 of which some window agrees.
 MEET = 0.97
-#: Bits of one segment of the ring.
-SEGMENT = 2
+#: Windows start at multiples of so many bits; a chain is tested at the end of each segment.
+STEP, SEGMENT = 2, 8
+#: Part of the ring that the first test of a chain covers.
+HEAD = 3 / 8
 #: Standard deviations above the expected distance that the budget allows.
 MARGIN = 2.4
 #: Bits that a chain prefix may exceed its proportional budget by, on the shortest ring.
-SLACK = 8
+SLACK = 4
 #: int8 codes decide a cosine that is further than this from the threshold.
 CODE_ERROR = 0.006
 #: Rows of one window value that one group holds, and of the sample that shows hot values.
@@ -62,14 +66,14 @@ def budget(threshold: float, ring: int = RING, margin: float = MARGIN) -> int:
 
 
 def window_bits(rows: int) -> int:
-    """Bits that must agree at a chain's start: whole segments, growing with the collection."""
-    want = max(12, int(np.ceil(np.log2(max(rows, 1)))) - 8)
-    return min(28, -(-want // SEGMENT) * SEGMENT)
+    """Bits that must agree at a chain's start: a few thousand rows share a window's value by chance."""
+    want = max(8, int(np.ceil(np.log2(max(rows, 1)))) - 12)
+    return min(28, -(-want // STEP) * STEP)
 
 
 def window_starts(count: int, ring: int = RING) -> np.ndarray:
-    """Where ``count`` windows start, evenly on the ring's segments."""
-    return (np.arange(count) * (ring // SEGMENT) // count) * SEGMENT
+    """Where ``count`` windows start, evenly on the ring."""
+    return (np.arange(count) * (ring // STEP) // count) * STEP
 
 
 def meeting(starts: np.ndarray, bits: int, ring: int, cosine: float = 0.9) -> float:
@@ -97,7 +101,7 @@ def layout(bits: int) -> tuple[int, np.ndarray]:
     apart = int(np.ceil(np.log(1 - MEET) / np.log(1 - agree)))  # windows that don't overlap need so many
     found = []
     for ring in RINGS:
-        for count in range(apart, min(ring // SEGMENT, (1 << _WINDOW) - 1) + 1):
+        for count in range(apart, min(ring // STEP, (1 << _WINDOW) - 1) + 1):
             starts = window_starts(count, ring)
             if meeting(starts, bits, ring) >= MEET:
                 found.append((count * (2 + ring // 64), ring, starts))
@@ -127,43 +131,55 @@ def window(words: np.ndarray, start: int, bits: int) -> np.ndarray:
     return value & np.uint64((1 << bits) - 1)
 
 
-def chain_masks(start: int, length: int, ring: int = RING) -> np.ndarray:
-    """Word masks of the chain prefixes of 1/4, 1/2 and 3/4 of the ring that begin at ``start``."""
-    masks = []
-    for part in (ring // 4, ring // 2, 3 * ring // 4):
-        flags = np.zeros(ring, bool)
-        flags[(start + np.arange(max(part, length))) % ring] = True
-        masks.append(np.packbits(flags, bitorder="little").view(np.uint64))
-    return np.array(masks)
+def chain(words: np.ndarray, start: int) -> np.ndarray:
+    """Rows of words turned so that the bit ``start`` of the ring comes first."""
+    word, shift = divmod(start, 64)
+    turned = np.roll(words, -word, axis=1)
+    if shift == 0:
+        return turned
+    return (turned >> np.uint64(shift)) | (np.roll(turned, -1, axis=1) << np.uint64(64 - shift))
+
+
+def chain_passes(differ: np.ndarray, start: int, bits: int, most: int) -> np.ndarray:
+    """Row by row, whether the chain of differing bits from ``start`` keeps every prefix within its budget.
+
+    Prefixes end with each segment; the first ``bits`` bits, the window, must agree.
+    """
+    ring = differ.shape[1] * 64
+    turned = np.ascontiguousarray(chain(differ, start))
+    upto = np.cumsum(np.bitwise_count(turned.view(np.uint8)), axis=1, dtype=np.int16)
+    limit = most * SEGMENT * np.arange(1, ring // SEGMENT + 1) / ring + SLACK * (ring / RING) ** 0.5
+    return (upto <= limit).all(1) & (window(differ, start, bits) == 0)
 
 
 def _candidates(
     ids: np.ndarray, words: np.ndarray, side: np.ndarray | None, start_no: int, starts: np.ndarray, bits: int, most: int
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (a < b) of one window value that pass the chain and the full Hamming check."""
+    """Pairs (a < b; ``ids`` ascend) of one window value that pass the chain and the full Hamming check."""
     ring = words.shape[1] * 64
-    masks = chain_masks(int(starts[start_no]), bits, ring)
-    slack = SLACK * (ring / RING) ** 0.5
-    budgets = [most * int(np.bitwise_count(m).sum()) / ring + slack for m in masks]
-    count = len(ids)
-    step = max(1, (1 << 20) // max(count, 1))
-    for lo in range(0, count, step):
-        i, j = np.nonzero(ids[lo : lo + step, None] < ids[None, :])
-        i += lo
+    head = int(ring * HEAD)
+    start = int(starts[start_no])
+    flags = np.unpackbits(np.ascontiguousarray(chain(words, start)).view(np.uint8), axis=1, count=head, bitorder="little")
+    signs = flags.astype(np.float32) * 2 - 1
+    limit = most * head / ring + SLACK * (ring / RING) ** 0.5
+    step = max(1, (1 << 21) // len(ids))
+    for lo in range(0, len(ids), step):
+        # the product of signs is the bits less twice those that differ
+        i, j = np.nonzero(signs[lo : lo + step] @ signs[lo:].T >= head - 2 * limit)
+        keep = i < j
+        i, j = i[keep] + lo, j[keep] + lo
         if side is not None:
             keep = side[i] != side[j]
             i, j = i[keep], j[keep]
-        for mask, limit in zip(masks, budgets):
-            part = words[i] & mask
-            part ^= words[j] & mask
-            keep = np.bitwise_count(part).sum(1, dtype=np.int16) <= limit
-            i, j = i[keep], j[keep]
         differ = words[i] ^ words[j]
+        keep = chain_passes(differ, start, bits, most)
+        i, j, differ = i[keep], j[keep], differ[keep]
         keep = np.bitwise_count(differ).sum(1, dtype=np.int16) <= most
         i, j, differ = i[keep], j[keep], differ[keep]
         fresh = np.ones(len(i), bool)
         for earlier in range(start_no):
-            fresh &= window(differ, int(starts[earlier]), bits) != 0
+            met = np.nonzero(fresh & (window(differ, int(starts[earlier]), bits) == 0))[0]
+            fresh[met] = ~chain_passes(differ[met], int(starts[earlier]), bits, most)
         yield i[fresh], j[fresh]
 
 
@@ -311,8 +327,12 @@ def near_duplicate_vectors(
     rows = df.count()
     drawn = draw(df, id_col, vector_col, dim, min(SAMPLE, max(1024, rows // 60)), rows)
     coded, copies = without_copies(df, id_col, vector_col, dim, drawn, rows, np.int8)
-    pairs = candidate_pairs(coded, dim, threshold, rows, runtime.fan_out(df, copies=3), distinct_units(drawn))
-    close = scored(pairs, coded, dim, np.int8).filter(F.col("cosine") >= threshold - CODE_ERROR)
+    windows = len(layout(window_bits(rows))[1])
+    pairs = candidate_pairs(coded, dim, threshold, rows, runtime.fan_out(df, copies=windows / 11), distinct_units(drawn))
+    pairs = runtime.written(pairs, "candidates")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    met = bloom.likely(coded, "id", runtime.written(ends.distinct(), "candidate-ends"))
+    close = scored(pairs, met, dim, np.int8).filter(F.col("cosine") >= threshold - CODE_ERROR)
     close = close.groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
     close = runtime.written(close, "close")
     sure = close.filter(F.col("cosine") >= threshold + CODE_ERROR).select("a", "b")
