@@ -107,6 +107,52 @@ def discard(spark: SparkSession, df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def _file(spark: SparkSession, path: str) -> tuple[object, object]:
+    """The file system and the path of a file name."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def read_manifest(spark: SparkSession, folder: str) -> str | None:
+    """The latest manifest of a folder; None if there is none."""
+    system, place = _file(spark, folder)
+    if not system.exists(place):
+        return None
+    names = [f.getPath().getName() for f in system.listStatus(place)]
+    names = sorted(n for n in names if n.startswith("manifest-") and n.endswith(".json"))
+    if not names:
+        return None
+    stream = system.open(_file(spark, f"{folder}/{names[-1]}")[1])
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def publish_manifest(spark: SparkSession, folder: str, text: str) -> None:
+    """Add a manifest to a folder: written under another name, then moved in one step, and never changed.
+
+    Whoever reads sees the manifest before or this one, never a part of it.
+    """
+    system, place = _file(spark, folder)
+    system.mkdirs(place)
+    names = [f.getPath().getName() for f in system.listStatus(place)]
+    last = max((int(n[9:-5]) for n in names if n.startswith("manifest-") and n.endswith(".json")), default=0)
+    _, beside = _file(spark, f"{folder}/_{uuid.uuid4().hex}")
+    stream = system.create(beside, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not system.rename(beside, _file(spark, f"{folder}/manifest-{last + 1:09d}.json")[1]):
+        raise OSError(f"the manifest of {folder} could not be added")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, place = _file(spark, path)
+    system.delete(place, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
