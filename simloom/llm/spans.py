@@ -6,10 +6,12 @@ any span of ``least`` characters that two texts share yields a fingerprint in
 both, at the same place of the span.
 
 The index is log-structured.  A batch of texts becomes a run: its fingerprints,
-sorted by hash, written once and never changed.  A new batch is merged with the
-runs that are there: after one shuffle by hash, equal hashes lie side by side,
-and those of two texts, one of them new, are hits.  Runs are compacted into one
-when there are more than ``MAX_RUNS``.
+cut into buckets by hash and sorted, written once and never changed.  A new batch is
+merge-joined with the runs that are there: all are cut into the same buckets, so
+neither the batch nor the history is shuffled again, and only counts and the hits
+come out.  Runs are compacted into one when there are more than ``MAX_RUNS``.  A
+manifest in the index's folder names the runs in force; it is replaced only after
+a run is whole, so an index can be opened again, and a failed call changes nothing.
 
 Hits are verified on the texts: the window's surroundings are fetched from the
 documents with hits (a Bloom filter of fixed size keeps the others out of the
@@ -19,6 +21,7 @@ cut into pairs of blocks.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -119,62 +122,133 @@ def fingerprints(df: DataFrame, id_col: str, text_col: str, least: int = LEAST,
 
 
 class SpanIndex:
-    """Runs of fingerprints in a folder that all executors share."""
+    """Runs of fingerprints in a folder that all executors share.
 
-    MAX_RUNS = 4
+    Opening a ``folder`` that holds an index goes on with it.  With ``texts`` the index
+    keeps the texts of its batches too, so that later batches can be verified
+    against them without the earlier documents at hand.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str | None = None, least: int = LEAST, gram: int = GRAM):
-        if not 0 < gram <= least:
-            raise ValueError("the window must be within the least span")
-        self.spark, self.least, self.gram = spark, least, gram
+    MAX_RUNS = 4
+    SCHEMA = "h long, doc_id long, at int"
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        folder: str | None = None,
+        least: int = LEAST,
+        gram: int = GRAM,
+        texts: bool = False,
+    ):
+        self.spark, self.least, self.gram, self.texts = spark, least, gram, texts
         self.folder = folder or f"{runtime.checkpoint_dir(spark)}/spans-{uuid.uuid4().hex}"
         self.runs: list[str] = []
+        self.kept: list[str] = []
+        self.buckets = 0
+        held = runtime.read_manifest(spark, self.folder)
+        if held is not None:
+            known = json.loads(held)
+            self.least, self.gram, self.texts = known["least"], known["gram"], known["texts"]
+            self.runs, self.kept, self.buckets = known["runs"], known["kept"], known["buckets"]
+        if not 0 < self.gram <= self.least:
+            raise ValueError("the window must be within the least span")
 
-    def _read(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.schema("h long, doc_id long, at int").parquet(*paths)
+    def _publish(self, runs: list[str], kept: list[str]) -> None:
+        known = {"least": self.least, "gram": self.gram, "texts": self.texts, "runs": runs, "kept": kept, "buckets": self.buckets}
+        runtime.publish_manifest(self.spark, self.folder, json.dumps(known))
+        self.runs, self.kept = runs, kept
+
+    def _read(self, run: str) -> DataFrame:
+        """A run as a bucketed table: joins and sums by hash need no shuffle."""
+        name = f"span_run_{uuid.uuid5(uuid.NAMESPACE_URL, f'{self.folder}/{run}').hex}"
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} (h BIGINT, doc_id BIGINT, at INT) USING parquet "
+            f"CLUSTERED BY (h) SORTED BY (h) INTO {self.buckets} BUCKETS LOCATION '{self.folder}/{run}'"
+        )
+        return self.spark.table(name)
+
+    def _forget(self, run: str) -> None:
+        """Delete a run that is no longer in force."""
+        name = f"span_run_{uuid.uuid5(uuid.NAMESPACE_URL, f'{self.folder}/{run}').hex}"
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        runtime.remove(self.spark, f"{self.folder}/{run}")
+
+    def _write(self, rows: DataFrame) -> str:
+        run = f"run-{uuid.uuid4().hex}"
+        name = f"span_run_{uuid.uuid5(uuid.NAMESPACE_URL, f'{self.folder}/{run}').hex}"
+        (
+            rows.repartition(self.buckets, "h")
+            .write.format("parquet")
+            .bucketBy(self.buckets, "h")
+            .sortBy("h")
+            .option("path", f"{self.folder}/{run}")
+            .saveAsTable(name)
+        )
+        return run
 
-    def _write(self, rows: DataFrame, partitions: int) -> str:
-        path = f"{self.folder}/run-{uuid.uuid4().hex}"
-        rows.repartition(partitions, "h").sortWithinPartitions("h", "doc_id", "at").write.parquet(path)
-        return path
+    def history(self) -> DataFrame:
+        """(doc_id, text) of all batches, if the index keeps texts."""
+        table = self.spark.read.schema("doc_id long, text string")
+        return table.parquet(*(f"{self.folder}/{k}" for k in self.kept))
 
     def add(self, batch: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """(h, doc_id, at, c): fingerprints that a text of this batch shares with another text.
 
         ``c`` is the number of rows of the hash.  The batch is part of the index afterwards.
         """
-        size = runtime.fan_out(batch, copies=0.5)
-        path = self._write(fingerprints(batch, id_col, text_col, self.least, self.gram), size)
-        new = self._read([path]).withColumn("new", F.lit(1))
-        rows = new
-        if self.runs:
-            rows = rows.unionByName(self._read(self.runs).withColumn("new", F.lit(0)))
-        same = Window.partitionBy("h")
-        hits = (
-            rows.repartition(size * (1 + len(self.runs)), "h")
-            .withColumn("lo", F.min("doc_id").over(same))
-            .withColumn("hi", F.max("doc_id").over(same))
-            .withColumn("any", F.max("new").over(same))
-            .withColumn("c", F.count("*").over(same))
-            .filter("lo < hi AND any = 1")
-            .select("h", "doc_id", "at", "c")
-        )
+        if not self.buckets:
+            self.buckets = runtime.fan_out(batch, copies=0.5)
+        run = self._write(fingerprints(batch, id_col, text_col, self.least, self.gram))
+        new = self._read(run)
+        counted = [F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("c")]
+        shared = new.groupBy("h").agg(*counted)
+        met = []
+        for number, old in enumerate(self.runs):
+            # the history's rows of hashes that the batch has
+            rows = self._read(old).join(new.select("h"), "h", "left_semi")
+            met.append(rows)
+            sums = rows.groupBy("h").agg(*counted).toDF("h", "l", "g", "k")
+            shared = shared.join(sums, "h", "left").select(
+                "h",
+                F.least("lo", "l").alias("lo"),
+                F.greatest("hi", "g").alias("hi"),
+                (F.col("c") + F.coalesce("k", F.lit(0))).alias("c"),
+            )
+        shared = shared.filter("lo < hi").select("h", "c")
+        hits = None
+        for rows in [new, *met]:
+            here = rows.join(shared, "h").select("h", "doc_id", "at", "c")
+            hits = here if hits is None else hits.unionByName(here)
         hits = runtime.written(hits, "span-hits")
-        self.runs.append(path)
+        kept = self.kept
+        if self.texts:
+            name = f"texts-{uuid.uuid4().hex}"
+            texts = batch.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+            texts.filter(f"doc_id IS NOT NULL AND length(text) >= {self.least}").write.parquet(f"{self.folder}/{name}")
+            kept = [*kept, name]
+        self._publish([*self.runs, run], kept)
         if len(self.runs) > self.MAX_RUNS:
             self.compact()
         return hits
 
     def compact(self) -> None:
-        """All runs merged into one; the old ones are deleted once it is written."""
-        old = self._read(self.runs)
-        size = max(runtime.shuffle_partitions(self.spark), runtime.input_bytes(old) // runtime.PARTITION_BYTES + 1)
-        path = self._write(old, size)
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        for run in self.runs:
-            folder = jvm.org.apache.hadoop.fs.Path(run)
-            folder.getFileSystem(conf).delete(folder, True)
-        self.runs = [path]
+        """All runs merged into one; the old ones are deleted once the manifest names it."""
+        old, rows = self.runs, None
+        for run in old:
+            rows = self._read(run) if rows is None else rows.unionByName(self._read(run))
+        size = runtime.input_bytes(rows) // runtime.PARTITION_BYTES + 1
+        # every bucket is cut in two, again and again, once runs outgrow them
+        before = self.buckets
+        while self.buckets < size:
+            self.buckets *= 2
+        try:
+            merged = self._write(rows)
+        except BaseException:
+            self.buckets = before
+            raise
+        self._publish([merged], self.kept)
+        for run in old:
+            self._forget(run)
 
 
 def _surroundings(df: DataFrame, hits: DataFrame, id_col: str, text_col: str, least: int, gram: int) -> DataFrame:
@@ -268,13 +342,20 @@ def shared_spans(
     as ``batches`` batches, by a hash of the id, into ``index``, whose runs are
     compacted at the end.
 
+    An ``index`` that holds earlier texts is searched as well: the rows are those of
+    pairs with at least one text of ``df``.  It must keep the texts, as matches with them
+    are verified.
+
     Null ids and texts and texts shorter than ``least`` have no rows; rows of one
     id are one record, compared with others only.  An empty table gives an empty
     result.  Other columns are ignored.
     """
     spark = df.sparkSession
     index = index or SpanIndex(spark, least=least, gram=gram)
-    hits = None
+    if index.runs and not index.texts:
+        raise ValueError("the index holds earlier texts' fingerprints but not the texts to verify matches with")
+    hits, earlier = None, bool(index.runs)
+    ids = df.select(F.col(id_col).cast("long").alias("id")).distinct()
     for number in range(batches):
         part = df.filter(F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(batches)) == number) if batches > 1 else df
         found = index.add(part, id_col, text_col)
@@ -282,8 +363,9 @@ def shared_spans(
     if len(index.runs) > 1:  # the hits are written, so nothing reads the runs any more
         index.compact()
     # a hash hit in several batches comes with ever larger counts; its last has all its rows
-    hits = hits.groupBy("h", "doc_id", "at").agg(F.max("c").alias("c"))
-    around = _surroundings(df, hits, id_col, text_col, index.least, index.gram)
+    hits = runtime.written(hits.groupBy("h", "doc_id", "at").agg(F.max("c").alias("c")), "span-places")
+    texts, id_col, text_col = (index.history(), "doc_id", "text") if index.texts else (df, id_col, text_col)
+    around = _surroundings(texts, hits, id_col, text_col, index.least, index.gram)
     blocks = F.greatest(F.ceil(F.col("c") / BLOCK), F.lit(1)).cast("int")
     cut = around.withColumn("r", blocks).withColumn("own", F.pmod(F.xxhash64("doc_id", "at"), F.col("r")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("r") - 1)))
@@ -304,7 +386,13 @@ def shared_spans(
         yield from _same_window(group, least, gram)
 
     schema = "doc_a long, doc_b long, from_a int, from_b int, run int"
-    return grouping.map_groups(cut, "grp", verify, schema, runtime.fan_out(df, copies=0.5))
+    found = grouping.map_groups(cut, "grp", verify, schema, runtime.fan_out(df, copies=0.5))
+    if not earlier:
+        return found
+    # two texts of the history were reported when the later of them came
+    known = [ids.select(F.col("id").alias(c), F.lit(True).alias(f"new_{c}")) for c in ("doc_a", "doc_b")]
+    flagged = found.join(known[0], "doc_a", "left").join(known[1], "doc_b", "left")
+    return flagged.filter("new_doc_a OR new_doc_b").select("doc_a", "doc_b", "from_a", "from_b", "run")
 
 
 def sharing_pairs(spans: DataFrame) -> DataFrame:

@@ -194,6 +194,24 @@ def test_later_batches_meet_earlier_runs(spark):
     assert counts == [0, 2, 3, 4] and len(index.runs) <= 2
 
 
+def test_calls_on_one_index_equal_one_call_on_all(spark, tmp_path, monkeypatch):
+    """Links to texts of earlier calls are found, also after opening the index again and compacting it."""
+    monkeypatch.setattr(spans.SpanIndex, "MAX_RUNS", 2)
+    docs = span_documents()
+    whole = {tuple(r) for r in spans.shared_spans(documents(spark, docs), least=30, gram=20).collect()}
+    found = set()
+    for number in range(4):
+        index = spans.SpanIndex(spark, f"file://{tmp_path}/index", least=30, gram=20, texts=True)
+        assert bool(index.runs) == (number > 0)
+        part = documents(spark, docs[number::4])
+        found |= {tuple(r) for r in spans.shared_spans(part, batches=1, index=index).collect()}
+    assert found == whole and whole
+    bare = spans.SpanIndex(spark, least=30, gram=20)
+    bare.add(documents(spark, docs))
+    with pytest.raises(ValueError):
+        spans.shared_spans(documents(spark, docs), index=bare)
+
+
 def test_hot_fingerprints_in_blocks_change_nothing(spark, monkeypatch):
     docs = span_documents()
     whole = {tuple(r) for r in spans.shared_spans(documents(spark, docs), least=30, gram=20).collect()}
@@ -268,7 +286,7 @@ def test_shared_spans_leave_a_compacted_index(spark):
     spans.shared_spans(df, least=30, gram=20, index=index).count()
     assert len(index.runs) == 1
     want = sorted(tuple(r) for r in spans.fingerprints(df, "doc_id", "text", 30, 20).collect())
-    assert want and sorted(tuple(r) for r in index._read(index.runs).collect()) == want
+    assert want and sorted(tuple(r) for r in index._read(index.runs[0]).collect()) == want
 
 
 def test_a_proximity_query_is_registered(spark, tmp_path):
