@@ -128,10 +128,23 @@ def flush_groups(df: DataFrame, folder: str, order: str) -> DataFrame:
     """Numbers the runs of equal ``folder`` along ``order`` (column ``run``, from 1).
 
     A scan of sorted shards closes a folder where the next begins; a folder that
-    comes back later is a run of its own.  The order is one of all rows, so one
-    task numbers them: use it for the files of one scan.  A plain group-by ignores
-    the order and is what to use otherwise.
+    comes back later is a run of its own.  Null folders are equal to each other; the
+    values of ``order`` differ.  Rows are cut into range slices, each is numbered by
+    itself, and the number of runs that begin before it is added: no task orders all rows.
     """
-    along = Window.orderBy(order)
-    new = F.when(F.col(folder).eqNullSafe(F.lag(folder).over(along)) & F.lag(order).over(along).isNotNull(), 0).otherwise(1)
-    return df.withColumn("new", new).withColumn("run", F.sum("new").over(along)).drop("new")
+    placed = runtime.written(df.repartitionByRange(order).withColumn("_slice", F.spark_partition_id()), "runs")
+    inside = Window.partitionBy("_slice").orderBy(order)
+    begins = ~F.col(folder).eqNullSafe(F.lag(folder).over(inside)) & F.lag("_slice").over(inside).isNotNull()
+    marked = placed.withColumn("_more", F.sum(begins.cast("long")).over(inside))  # runs begun after the slice's first
+    sides = placed.groupBy("_slice").agg(F.min_by(folder, order).alias("_head"), F.max_by(folder, order).alias("_tail"))
+    ends = marked.groupBy("_slice").agg(F.max("_more").alias("_inner")).join(sides, "_slice")
+    along = Window.orderBy("_slice")  # one row a slice
+    fresh = F.lag("_slice").over(along).isNull() | ~F.col("_head").eqNullSafe(F.lag("_tail").over(along))
+    base = ends.withColumn("_fresh", fresh.cast("long")).select(
+        "_slice",
+        (
+            F.sum("_fresh").over(along)
+            + F.coalesce(F.sum("_inner").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        ).alias("_base"),
+    )
+    return marked.join(F.broadcast(base), "_slice").withColumn("run", F.col("_base") + F.col("_more")).drop("_slice", "_base", "_more")

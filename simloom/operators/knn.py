@@ -29,10 +29,23 @@ from ..functions import vectors
 BLOCK = 8192
 
 
-def ranked(df: DataFrame, k: int) -> DataFrame:
-    """(q, rk, n, sim) with the best ``k`` per query out of candidate rows (q, n, sim)."""
-    order = Window.partitionBy("q").orderBy((F.col("q") != F.col("n")).cast("int"), F.col("sim").desc(), "n")
-    return df.withColumn("rk", F.row_number().over(order)).filter(F.col("rk") <= k).select("q", "rk", "n", "sim")
+def ranked(df: DataFrame, k: int, *by: str) -> DataFrame:
+    """(q, rk, n, sim) with the best ``k`` per query (and ``by``) out of candidate rows (q, n, sim)."""
+    order = Window.partitionBy(*by, "q").orderBy((F.col("q") != F.col("n")).cast("int"), F.col("sim").desc(), "n")
+    return df.withColumn("rk", F.row_number().over(order)).filter(F.col("rk") <= k).select(*by, "q", "rk", "n", "sim")
+
+
+def first_columns(key: np.ndarray, take: int) -> np.ndarray:
+    """Row by row, the columns of the ``take`` largest entries, largest first, ties by column."""
+    count = key.shape[1]
+    if take >= count:
+        return np.argsort(-key, axis=1, kind="stable")
+    least = np.partition(key, count - take, axis=1)[:, count - take]
+    i, j = np.nonzero(key >= least[:, None])  # columns ascend, so a stable sort settles ties
+    order = np.lexsort((-key[i, j], i))
+    i, j = i[order], j[order]
+    place = np.arange(len(i)) - np.searchsorted(i, np.arange(len(key)))[i]
+    return j[place < take].reshape(len(key), take)
 
 
 def exact_topk_sql(
@@ -56,11 +69,14 @@ def exact_topk(
     block: int = BLOCK,
     least: float | None = None,
     corpus: Column | None = None,
+    shard_size: int | None = None,
 ) -> DataFrame:
     """(q, rk, n, sim): the exact ``k`` nearest of every vector, itself included.
 
     ``least`` leaves out hits below it, after ranking.  ``corpus``, a condition on
-    the column id, limits what is searched, not what searches.  Zero vectors have
+    the column id, limits what is searched, not what searches.  With ``shard_size``
+    every vector has ``k`` hits in each shard (column ``shard``) of so many ids, all of
+    one pass.  Zero vectors have
     similarity 0 to all and are kept.  Null, non-finite and empty vectors and
     null ids raise; so do vectors of unlike lengths: a search that silently
     skips rows would shift every index that follows.
@@ -76,9 +92,9 @@ def exact_topk(
             | F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
         ).alias("bad"),
     ).first()
-    schema = "q long, n long, sim double"
+    schema = "q long, n long, sim double" + (", shard int" if shard_size else "")
     if bounds["rows"] == 0:
-        return df.sparkSession.createDataFrame([], "q long, rk int, n long, sim double")
+        return df.sparkSession.createDataFrame([], ("shard int, " if shard_size else "") + "q long, rk int, n long, sim double")
     if bounds["bad"] or bounds["lo"] != bounds["hi"] or bounds["lo"] < 1:
         raise ValueError(f"vectors must be finite and of one length: {bounds['bad']} bad rows, lengths {bounds['lo']} to {bounds['hi']}")
     dim = bounds["lo"]
@@ -108,20 +124,22 @@ def exact_topk(
         q, n = order[role[order] == 0], order[role[order] == 1]
         if len(q) == 0 or len(n) == 0:
             return
-        take = min(k, len(n))
-        for lo in range(0, len(q), 1024):
-            at = q[lo : lo + 1024]
-            score = np.round(vec[at] @ vec[n].T, 6)
-            key = np.where(ids[at][:, None] == ids[n][None, :], np.inf, score)
-            # ids ascend along the row, so a stable sort settles ties by id
-            best = np.argsort(-key, axis=1, kind="stable")[:, :take]
-            yield pa.record_batch(
-                [np.repeat(ids[at], take), ids[n][best].ravel(), np.take_along_axis(score, best, 1).ravel() + 0.0],
-                ["q", "n", "sim"],
-            )
+        shard = ids[n] // shard_size if shard_size else np.zeros(len(n), np.int64)
+        for part in np.unique(shard):
+            some = n[shard == part]
+            take = min(k, len(some))
+            for lo in range(0, len(q), 1024):
+                at = q[lo : lo + 1024]
+                score = np.round(vec[at] @ vec[some].T, 6)
+                # ids ascend along the row
+                best = first_columns(np.where(ids[at][:, None] == ids[some][None, :], np.inf, score), take)
+                hits = [np.repeat(ids[at], take), ids[some][best].ravel(), np.take_along_axis(score, best, 1).ravel() + 0.0]
+                if shard_size:
+                    hits.append(np.full(len(hits[0]), part, np.int32))
+                yield pa.record_batch(hits, ["q", "n", "sim", "shard"][: len(hits)])
 
     found = grouping.map_groups(both, "grp", search, schema, max(runtime.shuffle_partitions(df.sparkSession), blocks * blocks))
-    top = ranked(found, k)
+    top = ranked(found, k, *(["shard"] if shard_size else []))
     return top if least is None else top.filter(F.col("sim") >= least)
 
 
@@ -186,12 +204,8 @@ def sharded_topk(
     Shard s holds the ids from s * shard_size on; the ids of a shard's hits are
     those of the whole collection.  Exact, in blocks, as :func:`exact_topk`.
     """
-    out = None
-    for shard in range(shards):
-        inside = (F.col("id") >= shard * shard_size) & (F.col("id") < (shard + 1) * shard_size)
-        part = exact_topk(df, k, id_col, vector_col, corpus=inside).withColumn("shard", F.lit(shard))
-        out = part if out is None else out.unionByName(part)
-    return out.select("shard", "q", "rk", "n", "sim")
+    inside = (F.col("id") >= 0) & (F.col("id") < shards * shard_size)
+    return exact_topk(df, k, id_col, vector_col, corpus=inside, shard_size=shard_size)
 
 
 def to_long(knn: DataFrame, q: str, scores: str, indices: str, offset: int = 0) -> DataFrame:

@@ -9,9 +9,16 @@ from ..functions import names
 
 
 def label_rows(groups: DataFrame, items: DataFrame, key: str = "data_index", path: str = "path") -> DataFrame:
-    """(folder, file_path): one row per member, in folders ``group_0000`` by group number."""
-    paths = items.select(F.col(key).cast("long").alias("member"), F.col(path).alias("file_path"))
-    return groups.join(paths, "member").select(names.group_name("group_id").alias("folder"), "file_path")
+    """(folder, file_path): one row per member, in folders ``group_0000`` by group number.
+
+    A member without an item fails the job: a label set that silently lacks rows
+    would not be noticed.  An item with a null path is there.
+    """
+    paths = items.select(F.col(key).cast("long").alias("member"), F.col(path).alias("file_path"), F.lit(True).alias("known"))
+    missing = F.raise_error(F.concat(F.lit("no item for member "), F.col("member").cast("string"))).cast("string")
+    return groups.join(paths, "member", "left").select(
+        names.group_name("group_id").alias("folder"), F.when(F.col("known"), F.col("file_path")).otherwise(missing).alias("file_path")
+    )
 
 
 def label_file_names(labels: DataFrame, prefix: str = "train") -> DataFrame:
@@ -44,12 +51,10 @@ def class_map(groups: DataFrame, classes: DataFrame) -> DataFrame:
     by (group, position) wins; targets are not followed further.  The first
     member of a group maps its own class to itself and counts as a write too.
     """
-    place = F.row_number().over(Window.partitionBy("group_id").orderBy("member")) - 1
-    rows = groups.join(classes, "member").select("group_id", "member", "class")
     first = groups.groupBy("group_id").agg(F.min("member").alias("member"))
     target = first.join(classes, "member").select("group_id", F.col("class").alias("target"))
-    written = rows.withColumn("pos", place).join(target, "group_id")
-    last = F.max_by("target", F.struct("group_id", "pos"))
+    written = groups.join(classes, "member").select("group_id", "member", "class").join(target, "group_id")
+    last = F.max_by("target", F.struct("group_id", "member"))  # members are in order inside a group
     return written.groupBy("class").agg(last.alias("target"))
 
 
@@ -93,24 +98,32 @@ def capped(
     if limit <= 0:
         place = F.row_number().over(Window.partitionBy("folder").orderBy("o")) - 1
         return rows.select("folder", "file_path", place.alias("pos"))
-    some = F.max("is_origin").over(Window.partitionBy("folder"))
-    back = Window.partitionBy("folder", "is_origin").orderBy(F.when(F.col("is_origin"), -F.col("o")).otherwise(F.col("o")))
-    ranked = rows.withColumn("has", some).withColumn("r", F.row_number().over(back))
-    pos = F.when(F.col("is_origin"), F.lit(0)).otherwise(F.col("r"))
-    chosen = ranked.filter((F.col("is_origin") & (F.col("r") == 1)) | (~F.col("is_origin") & (F.col("r") < limit)))
-    checked = F.when(F.col("has"), pos).otherwise(
-        F.raise_error(F.concat(F.lit("no original in class "), F.coalesce("folder", F.lit("null")))).cast("int")
+    originals = rows.filter("is_origin").groupBy("folder").agg(F.max_by("file_path", "o").alias("file_path"))
+    others = rows.filter("NOT is_origin")
+    # the first rows of a class are chosen in the tasks before the shuffle, however large the class is
+    first = Window.partitionBy("folder").orderBy("o")
+    some = others.withColumn("pos", F.row_number().over(first)).filter(F.col("pos") < max(limit, 2))
+    known = originals.select("folder", F.lit(True).alias("has"))
+    joined = some.alias("s").join(known.alias("k"), F.col("s.folder").eqNullSafe(F.col("k.folder")), "left")
+    checked = F.when(F.col("has"), F.col("pos")).otherwise(
+        F.raise_error(F.concat(F.lit("no original in class "), F.coalesce("s.folder", F.lit("null")))).cast("int")
     )
-    return chosen.select("folder", "file_path", checked.alias("pos"))
+    checked = joined.select("s.folder", "file_path", checked.alias("pos")).filter(F.col("pos") < limit)
+    return originals.select("folder", "file_path", F.lit(0).alias("pos")).unionByName(checked)
 
 
 def augment_json(rows: DataFrame, json: str, fields: dict[str, Column]) -> Column:
-    """The JSON object column with string-valued top-level fields added or replaced.
+    """The JSON object column with top-level fields added or replaced, as JSON text.
 
-    Values of the object are kept as JSON text of their own type; a null or
-    malformed document gives an object of the new fields only.
+    Every value keeps its type, nested ones too: fields are numbers, booleans or
+    strings as their columns are, and a null column is a JSON null.  A null or
+    malformed document, or one that is no object, gives an object of the new fields only.
     """
-    held = F.from_json(F.col(json), "map<string,string>")
-    added = F.create_map(*(x for name, value in fields.items() for x in (F.lit(name), value.cast("string"))))
-    kept = F.map_filter(F.coalesce(held, F.create_map().cast("map<string,string>")), lambda k, v: ~k.isin(list(fields)))
+    held = F.from_json(F.col(json), "map<string,variant>")
+    none = F.create_map().cast("map<string,variant>")
+    kept = F.map_filter(F.coalesce(held, none), lambda k, v: ~k.isin(list(fields)))
+    null = F.parse_json(F.lit("null"))
+    added = F.create_map(
+        *(x for name, value in fields.items() for x in (F.lit(name), F.coalesce(value.cast("variant"), null)))
+    )
     return F.to_json(F.map_concat(kept, added))

@@ -1,10 +1,10 @@
 """Clean listings of (folder, path) pairs and per-folder results without imbalance.
 
-A few folders hold most rows, so nothing here groups raw rows by folder in one
-task.  ``folder_results`` accumulates dense arrays instead: folder names become
-codes of a dictionary, every task adds its rows into arrays indexed by code, and
-the arrays travel as blocks of codes that are summed by reduction.  A hot folder
-costs a task one array cell, as every other folder does.
+A few folders hold most rows, so nothing here groups or joins raw rows by folder.
+``folder_results`` accumulates dense arrays instead: every task encodes the folders
+of its split with a dictionary of its own and adds its rows into arrays indexed by
+code; the arrays are cut into blocks by a hash of the folder and summed by
+reduction.  A hot folder costs a task one array cell, as every other folder does.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from .. import grouping, runtime
 
 WHITE = " \t\r\n"
-#: Codes per array block.
-BLOCK = 4096
+#: Codes an array begins with, and those from which a task sends its arrays on and starts new ones.
+BLOCK, DICTIONARY = 4096, 1 << 18
 
 
 def clean_path(path: str | F.Column) -> F.Column:
@@ -63,28 +63,6 @@ def clean_listing(
     )
 
 
-def _dictionary(keys: DataFrame) -> DataFrame:
-    """(key, code): dense codes from 0 of the distinct keys, in no set order.
-
-    Codes are a prefix sum of the sizes of hash slices plus the place inside the
-    slice, so no task orders all keys.
-    """
-    from pyspark.sql import Window
-
-    spark = keys.sparkSession
-    slices = max(64, runtime.shuffle_partitions(spark))
-    cut = keys.distinct().withColumn("slice", F.pmod(F.xxhash64("key"), F.lit(slices)).cast("int"))
-    inside = cut.withColumn("place", F.row_number().over(Window.partitionBy("slice").orderBy("key")) - 1)
-    inside = runtime.written(inside, "dictionary")
-    sizes = inside.groupBy("slice").agg(F.count("*").alias("c"))
-    base = sizes.withColumn(
-        "base", F.coalesce(F.sum("c").over(Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    )
-    return inside.join(F.broadcast(base.select("slice", "base")), "slice").select(
-        "key", (F.col("base") + F.col("place")).cast("long").alias("code")
-    )
-
-
 def folder_results(
     df: DataFrame, folder: str = "folder", path: str = "file_path", position: str = "list_pos"
 ) -> DataFrame:
@@ -99,66 +77,68 @@ def folder_results(
     path) and (folder, subject), never by folder alone.
     """
     clean = clean_listing(df, folder, path, position)
-    # one row per (folder, subject): what the arrays count, keyed by both fields
-    pairs = clean.groupBy("folder", "subject").agg(F.count("*").alias("n"), F.min("path").alias("p"))
-    pairs = runtime.written(pairs, "folder-subject")
-    codes = runtime.written(_dictionary(pairs.select(F.col("folder").alias("key"))), "codes")
-    coded = pairs.join(codes, pairs["folder"] == codes["key"]).select("code", "n", "p")
+    pairs = clean.select("folder", "subject").distinct()
+    listed = clean.select("folder", F.lit(True).alias("listing"), "path")
+    counted = pairs.select("folder", F.lit(False).alias("listing"), F.lit(None).cast("string").alias("path"))
 
     def accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, count, first = [], [], {}
+        held: dict[str, int] = {}  # the task's dictionary: folder to code
+        listings, subjects = np.zeros(BLOCK, np.int64), np.zeros(BLOCK, np.int64)
+        first: list[str | None] = []
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            here = batch.column(0).to_numpy()
-            code.append(here)
-            count.append(batch.column(1).to_numpy())
-            least = pa.Table.from_batches([batch.select([0, 2])]).group_by("code").aggregate([("p", "min")])
+            words = batch.column(0).dictionary_encode()
+            for name in words.dictionary.to_pylist():
+                if name not in held:
+                    held[name] = len(held)
+                    first.append(None)
+            code = np.array([held[name] for name in words.dictionary.to_pylist()])[words.indices.to_numpy()]
+            while len(listings) < len(held):
+                listings, subjects = (np.concatenate([x, np.zeros(len(x), np.int64)]) for x in (listings, subjects))
+            whole = batch.column(1).to_numpy(zero_copy_only=False)
+            listings += np.bincount(code[whole], minlength=len(listings))
+            subjects += np.bincount(code[~whole], minlength=len(subjects))
+            least = pa.table({"code": code, "p": batch.column(2)}).group_by("code").aggregate([("p", "min")])
             for c, p in zip(least["code"].to_pylist(), least["p_min"].to_pylist()):
-                if c not in first or p < first[c]:
+                if p is not None and (first[c] is None or p < first[c]):
                     first[c] = p
-        if not code:
-            return
-        code, count = np.concatenate(code), np.concatenate(count)
-        for block in np.unique(code // BLOCK):
-            mine = code // BLOCK == block
-            at = code[mine] - block * BLOCK
-            listings = np.bincount(at, weights=count[mine], minlength=BLOCK).astype(np.int64)
-            subjects = np.bincount(at, minlength=BLOCK).astype(np.int64)
-            used = np.nonzero(subjects)[0]
-            yield pa.record_batch(
-                [
-                    pa.array([int(block)]),
-                    pa.array([used.tolist()], pa.list_(pa.int32())),
-                    pa.array([listings[used].tolist()], pa.list_(pa.int64())),
-                    pa.array([subjects[used].tolist()], pa.list_(pa.int64())),
-                    pa.array([[first[int(block) * BLOCK + int(u)] for u in used]], pa.list_(pa.string())),
-                ],
-                ["block", "at", "listings", "subjects", "firsts"],
-            )
-
-    arrays = "block long, at array<int>, listings array<long>, subjects array<long>, firsts array<string>"
-    # equal splits of the input: the pairs are in no order of folders, whatever their sizes
-    blocks = coded.mapInArrow(accumulate, arrays)
+            if len(held) >= DICTIONARY:
+                yield _partial(held, listings, subjects, first)
+                held, first = {}, []
+                listings, subjects = np.zeros(BLOCK, np.int64), np.zeros(BLOCK, np.int64)
+        if held:
+            yield _partial(held, listings, subjects, first)
+
+    fields = "folder string, listings long, subjects long, first_path string"
+    # equal splits of the input: rows are in no order of folders, whatever the folders' sizes
+    arrays = listed.mapInArrow(accumulate, fields).unionByName(counted.mapInArrow(accumulate, fields))
+    blocks = max(runtime.shuffle_partitions(df.sparkSession), -(-runtime.input_bytes(df) // runtime.PARTITION_BYTES))
+    arrays = arrays.withColumn("block", F.pmod(F.xxhash64("folder"), F.lit(int(blocks))))
 
     def reduce(group: pa.Table) -> Iterable[pa.RecordBatch]:
-        flat = {name: pc.list_flatten(group[name]).to_numpy(zero_copy_only=False) for name in ("at", "listings", "subjects")}
-        listings, subjects = np.zeros(BLOCK, np.int64), np.zeros(BLOCK, np.int64)
-        np.add.at(listings, flat["at"], flat["listings"])
-        np.add.at(subjects, flat["at"], flat["subjects"])
-        pairs_ = pa.table({"at": pc.list_flatten(group["at"]), "p": pc.list_flatten(group["firsts"])})
-        least = pairs_.group_by("at").aggregate([("p", "min")])
-        at = least["at"].to_numpy()
-        block = group["block"][0].as_py()
+        words = pc.dictionary_encode(group["folder"].combine_chunks())
+        code, names = words.indices.to_numpy(), words.dictionary
+        listings, subjects = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+        np.add.at(listings, code, group["listings"].to_numpy())
+        np.add.at(subjects, code, group["subjects"].to_numpy())
+        least = pa.table({"code": code, "p": group["first_path"]}).group_by("code").aggregate([("p", "min")])
+        at = np.argsort(least["code"].to_numpy())
         yield pa.record_batch(
-            [pa.array(block * BLOCK + at.astype(np.int64)), pa.array(listings[at]), pa.array(subjects[at]), least["p_min"].combine_chunks()],
-            ["code", "listings", "subjects", "first_path"],
+            [names, pa.array(listings), pa.array(subjects), least["p_min"].combine_chunks().take(pa.array(at))],
+            ["folder", "listings", "subjects", "first_path"],
         )
 
-    summed = grouping.map_groups(
-        blocks, "block", reduce, "code long, listings long, subjects long, first_path string", runtime.shuffle_partitions(df.sparkSession)
+    return grouping.map_groups(arrays, "block", reduce, fields, int(blocks))
+
+
+def _partial(held: dict[str, int], listings: np.ndarray, subjects: np.ndarray, first: list[str | None]) -> pa.RecordBatch:
+    """A task's arrays, with the names of its codes."""
+    n = len(held)
+    return pa.record_batch(
+        [pa.array(list(held), pa.string()), pa.array(listings[:n]), pa.array(subjects[:n]), pa.array(first, pa.string())],
+        ["folder", "listings", "subjects", "first_path"],
     )
-    return summed.join(codes, "code").select(F.col("key").alias("folder"), "listings", "subjects", "first_path")
 
 
 def large_folders(results: DataFrame, share: float = 0.02) -> DataFrame:

@@ -384,15 +384,15 @@ def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _LABELS = """
 SELECT 'group_' || CASE WHEN group_id < 10000 THEN lpad(CAST(group_id AS VARCHAR), 4, '0') ELSE CAST(group_id AS VARCHAR) END AS folder,
-  source || '/' || doc_id AS file_path
-FROM groups JOIN documents ON doc_id = member
+  'class ' || label || '/' || vec_id || '.jpg' AS file_path
+FROM groups JOIN embeddings ON vec_id = member
 """
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = F.concat("source", F.lit("/"), F.col("doc_id").cast("string"))
-    items = _table(spark, sf_dir, "documents").select("doc_id", path.alias("path"))
-    return labels.label_rows(_wall(spark, sf_dir)[2], items, key="doc_id")
+    path = F.concat(F.lit("class "), F.col("label").cast("string"), F.lit("/"), F.col("vec_id").cast("string"), F.lit(".jpg"))
+    items = _embeddings(spark, sf_dir).select("vec_id", path.alias("path"))
+    return labels.label_rows(_wall(spark, sf_dir)[2], items, key="vec_id")
 
 
 @_query(_WALL + _LABELS)
@@ -627,26 +627,18 @@ def capped_per_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(
-    """SELECT event_id, json_extract_string(props, '$.' || k) AS old, 'img/' || event_id AS img_path, user_id AS frame_cnt, event_type AS scene_str
-FROM (SELECT *, json_keys(props)[1] AS k FROM events)"""
+    """SELECT event_id, CAST(json_merge_patch(props, json_object('img_path', 'img/' || event_id, 'frame_cnt', user_id, 'scene_str', event_type)) AS VARCHAR) AS document
+FROM events"""
 )
 def json_augment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with fields added, and one old and the new fields read back."""
+    """Documents with fields added, as text: numbers stay numbers."""
     events = _table(spark, sf_dir, "events")
     fields = {
         "img_path": F.concat(F.lit("img/"), F.col("event_id").cast("string")),
         "frame_cnt": F.col("user_id"),
         "scene_str": F.col("event_type"),
     }
-    more = events.select("event_id", F.element_at(F.json_object_keys("props"), 1).alias("k"), labels.augment_json(events, "props", fields).alias("j"))
-    held = more.withColumn("m", F.from_json("j", "map<string,string>"))
-    return held.select(
-        "event_id",
-        F.element_at("m", F.col("k")).alias("old"),
-        F.element_at("m", F.lit("img_path")).alias("img_path"),
-        F.element_at("m", F.lit("frame_cnt")).cast("long").alias("frame_cnt"),
-        F.element_at("m", F.lit("scene_str")).alias("scene_str"),
-    )
+    return events.select("event_id", labels.augment_json(events, "props", fields).alias("document"))
 
 
 # --- shards, splits, encoder

@@ -80,9 +80,32 @@ def test_capped_classes(spark, rows):
 
 
 def test_json_fields(spark):
-    df = spark.createDataFrame([('{"a": "x", "b": 2}',), (None,), ("{broken",)], "j string")
-    got = [json.loads(r["x"]) for r in df.select(labels.augment_json(df, "j", {"b": F.lit(5), "c": F.lit("y")}).alias("x")).collect()]
-    assert got[0] == {"a": "x", "b": "5", "c": "y"} and got[1] == {"b": "5", "c": "y"}
+    nested = '{"a": "x", "b": 2, "c": {"d": [1, 2.5, null]}, "e": true}'
+    df = spark.createDataFrame([(nested,), (None,), ("{broken",), ("[1]",)], "j string")
+    fields = {"b": F.lit(5), "f": F.lit("y"), "g": F.lit(None).cast("int")}
+    got = [json.loads(r["x"]) for r in df.select(labels.augment_json(df, "j", fields).alias("x")).collect()]
+    assert got[0] == {"a": "x", "b": 5, "c": {"d": [1, 2.5, None]}, "e": True, "f": "y", "g": None}
+    assert got[1:] == [{"b": 5, "f": "y", "g": None}] * 3
+
+
+def test_a_member_without_an_item_fails(spark, rows):
+    groups = spark.createDataFrame([(0, 1), (0, 2), (1, 3)], "group_id long, member long")
+    items = spark.createDataFrame([(1, "p/1"), (2, None), (3, "p/3")], "data_index long, path string")
+    assert rows(labels.label_rows(groups, items)) == {("group_0000", "p/1"), ("group_0000", None), ("group_0001", "p/3")}
+    with pytest.raises(Exception, match="no item for member"):
+        labels.label_rows(groups, items.limit(1)).collect()
+
+
+def test_runs_over_many_slices(spark):
+    folders = [None, None, "a", "a", "b", "b", "b", "a", None, "c"]
+    data = [(n, folders[n // 7 % len(folders)]) for n in range(210)]
+    want, run, last = [], 0, object()
+    for _, f in data:
+        run, last = run + (f != last), f
+        want.append(run)
+    df = spark.createDataFrame(data, "o long, f string").repartition(5)
+    assert [r["run"] for r in centroids.flush_groups(df, "f", "o").orderBy("o").collect()] == want
+    assert centroids.flush_groups(df.limit(0), "f", "o").count() == 0
 
 
 def test_centroids(spark, rows):
