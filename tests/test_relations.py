@@ -88,10 +88,10 @@ def test_json_fields(spark):
     assert got[1:] == [{"b": 5, "f": "y", "g": None}] * 3
 
 
-def test_a_member_without_an_item_fails(spark, rows):
+def test_a_member_without_an_item_fails(spark):
     groups = spark.createDataFrame([(0, 1), (0, 2), (1, 3)], "group_id long, member long")
     items = spark.createDataFrame([(1, "p/1"), (2, None), (3, "p/3")], "data_index long, path string")
-    assert rows(labels.label_rows(groups, items)) == {("group_0000", "p/1"), ("group_0000", None), ("group_0001", "p/3")}
+    assert {tuple(r) for r in labels.label_rows(groups, items).collect()} == {("group_0000", "p/1"), ("group_0000", None), ("group_0001", "p/3")}
     with pytest.raises(Exception, match="no item for member"):
         labels.label_rows(groups, items.limit(1)).collect()
 
