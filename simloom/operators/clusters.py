@@ -94,18 +94,19 @@ def representatives(groups: DataFrame) -> DataFrame:
     return groups.groupBy("group_id").agg(F.min("member").alias("member"))
 
 
-def preview(groups: DataFrame, top: int = 50, per_group: int = 10) -> DataFrame:
+def preview(groups: DataFrame, top: int = 50, per_group: int | None = 10) -> DataFrame:
     """(rank, group_id, pos, member): the first members of the largest groups.
 
-    Groups rank from 0 by size descending, then group id; ``top`` 0 gives nothing.
-    The largest groups are found by a top-n, not a sort of all.
+    Groups rank from 0 by size descending, then group id; ``top`` 0 gives nothing; without
+    ``per_group`` all members of these groups come.  The largest groups are found by a top-n, not a sort of all.
     """
     order = sizes(groups).orderBy(F.col("size").desc(), "group_id").limit(top)
     rank = F.row_number().over(Window.orderBy(F.col("size").desc(), "group_id")) - 1  # over ``top`` rows
     chosen = order.withColumn("rank", rank).select("group_id", "rank")
     place = F.row_number().over(Window.partitionBy("group_id").orderBy("member")) - 1
     rows = groups.join(F.broadcast(chosen), "group_id").withColumn("pos", place)
-    return rows.filter(F.col("pos") < per_group).select("rank", "group_id", "pos", "member")
+    rows = rows if per_group is None else rows.filter(F.col("pos") < per_group)
+    return rows.select("rank", "group_id", "pos", "member")
 
 
 def summary(nodes: DataFrame, removed: DataFrame, groups: DataFrame) -> DataFrame:

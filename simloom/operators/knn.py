@@ -197,14 +197,14 @@ def merge_shards(knn: DataFrame, k: int) -> DataFrame:
 
 
 def sharded_topk(
-    df: DataFrame, k: int, shards: int, shard_size: int, id_col: str = "vec_id", vector_col: str = "embedding"
+    df: DataFrame, k: int, shards: int, shard_size: int, id_col: str = "vec_id", vector_col: str = "embedding", first: int = 0
 ) -> DataFrame:
     """(shard, q, rk, n, sim): every vector's top ``k`` in each shard of the corpus.
 
     Shard s holds the ids from s * shard_size on; the ids of a shard's hits are
-    those of the whole collection.  Exact, in blocks, as :func:`exact_topk`.
+    those of the whole collection.  Only the shards from ``first`` on are searched.  Exact, in blocks, as :func:`exact_topk`.
     """
-    inside = (F.col("id") >= 0) & (F.col("id") < shards * shard_size)
+    inside = (F.col("id") >= first * shard_size) & (F.col("id") < shards * shard_size)
     return exact_topk(df, k, id_col, vector_col, corpus=inside, shard_size=shard_size)
 
 

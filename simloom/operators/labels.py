@@ -112,6 +112,28 @@ def capped(
     return originals.select("folder", "file_path", F.lit(0).alias("pos")).unionByName(checked)
 
 
+def annotated(groups: DataFrame, items: DataFrame, documents: DataFrame, root: str = "") -> DataFrame:
+    """(name, json): the members' documents with their image path, frame, scene and group added.
+
+    ``groups`` is (group_id, member), ``items`` (member, path), ``documents`` (path, json); a
+    document is the one whose file name is the image's up to its first dot, with .json.
+    A member without a document, or whose name holds no frame number, fails the job.
+    """
+    base = names.base_name("path")
+    held = documents.select(names.base_name("path").alias("name"), "json")
+    rows = groups.join(items, "member").select("group_id", "path", F.concat(names.stem_of(base), F.lit(".json")).alias("name"))
+    rows = rows.join(held, "name", "left")
+    bad = lambda what: F.raise_error(F.concat(F.lit(f"no {what} for "), "path"))
+    fields = {
+        "img_path": F.concat(F.lit(root), "path"),
+        "frame_cnt": F.coalesce(names.frame_of(base), bad("frame number").cast("int")),
+        "scene_str": names.scene_of(base),
+        "face_id": F.col("group_id"),
+    }
+    whole = rows.withColumn("json", F.coalesce("json", bad("document").cast("string")))
+    return whole.select("name", augment_json(whole, "json", fields).alias("json"))
+
+
 def augment_json(rows: DataFrame, json: str, fields: dict[str, Column]) -> Column:
     """The JSON object column with top-level fields added or replaced, as JSON text.
 

@@ -9,9 +9,12 @@ over the hit lists costs a scan, not a second search.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import runtime
 from ..operators import clusters, knn, labels, removal, shards
@@ -99,8 +102,18 @@ def process_hits(hits: DataFrame, config: Config, shard_count: int) -> Result:
     return Result(hits, removed, runtime.written(clusters.bridge_groups(hits, removed, config.cluster), "groups"))
 
 
-def write_outputs(result: Result, items: DataFrame, folder: str, config: Config = WALL, path: str = "path") -> dict[str, str]:
-    """Report, labels, group text and preview rows of a run, below a folder of our own."""
+def write_outputs(
+    result: Result,
+    items: DataFrame,
+    folder: str,
+    config: Config = WALL,
+    path: str = "path",
+    decode: Callable[[bytes], np.ndarray | None] | None = None,
+) -> dict[str, str]:
+    """Report, labels, group text and preview rows of a run, below a folder of our own.
+
+    With ``decode`` the first readable images of the largest groups are written too, one folder a group.
+    """
     spark = items.sparkSession
     writers.fresh_folder(spark, folder)
     removed = result.removed.count() if config.duplicate is not None else None
@@ -111,6 +124,13 @@ def write_outputs(result: Result, items: DataFrame, folder: str, config: Config
     if config.previews:
         preview = clusters.preview(result.groups, config.previews, config.per_preview)
         preview.write.mode("overwrite").parquet(f"{folder}/previews")
+    if config.previews and decode is not None:
+        # all members of these groups, as the first readable ones may stand anywhere
+        whole = clusters.preview(result.groups, config.previews, None)
+        paths = items.select(F.col("data_index").alias("member"), F.col(path).alias("path"))
+        sheets = writers.sheet_images(whole.join(paths, "member"), decode, limit=config.per_preview)
+        named = sheets.select(F.concat("folder", F.lit("/"), "name", F.lit(".ppm")).alias("name"), F.col("image").alias("content"))
+        writers.write_files(named, f"{folder}/images")
     return {"classes": classes, "data_list": data, "report": f"{folder}/report", "groups": f"{folder}/groups"}
 
 

@@ -11,12 +11,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import runtime
 from .functions import names, vectors
 from .operators import centroids, clusters, encode, knn, labels, listing, removal, shards
+from .plans import pipelines
 from .sinks import writers
 from .sources import readers
 from .streaming import compactor
@@ -702,6 +704,297 @@ def encode_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode(items, encode.hashed_features, dim=encode.FINAL)
 
 
+# --- sources and sinks: what is written comes back
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{runtime.checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+_EMBEDDED_PATH = "'class ' || label || '/' || vec_id || '.jpg'"
+
+
+@_query(
+    f"SELECT vec_id AS data_index, k - 1 AS pos, CAST(embedding[k] AS DOUBLE) AS x, {_EMBEDDED_PATH} AS path "
+    "FROM embeddings, unnest(range(1, len(embedding) + 1)) AS t(k)"
+)
+def npy_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors and paths as array shards of 150 rows, read in ranges of 64 rows and paired by position."""
+    folder = _folder(spark, "npy")
+    rows = _embeddings(spark, sf_dir).select(F.col("vec_id").alias("data_index"), "embedding", F.expr(_EMBEDDED_PATH).alias("path"))
+    writers.write_npy(rows, folder, rows_per_file=150)
+    writers.write_npy(rows, folder, "fpaths_", value="path", rows_per_file=150)
+    back = readers.npy_table(spark, folder)
+    return back.select("data_index", "path", F.posexplode(vectors.as_double("embedding")).alias("pos", "x")).select(
+        "data_index", F.col("pos").cast("long").alias("pos"), "x", "path"
+    )
+
+
+@_query(
+    """SELECT row_number() OVER (ORDER BY list_pos) - 1 AS data_index, trim(file_path, E' \\t\\r\\n') AS path
+FROM data_list WHERE trim(file_path, E' \\t\\r\\n') <> ''"""
+)
+def path_list_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths as one text file, numbered by line when read again in byte ranges."""
+    folder = _folder(spark, "paths")
+    rows = _table(spark, sf_dir, "data_list").select("list_pos", "file_path")
+    rows.repartition(1).sortWithinPartitions("list_pos").select(F.coalesce("file_path", F.lit("")).alias("value")).write.text(folder)
+    return readers.path_list(spark, folder).select("data_index", "path")
+
+
+_NAMED = "SELECT n_nationkey, n_regionkey, 'region ' || n_regionkey || '/' || n_nationkey || ['.jpg', '.PNG', '.txt', '.webp'][n_nationkey % 4 + 1] AS name, n_name AS content FROM nation"
+
+
+def _named_files(spark: SparkSession, sf_dir: str) -> str:
+    """A file for each nation, in an output folder made anew."""
+    folder = writers.fresh_folder(spark, writers.fresh_folder(spark, _folder(spark, "images")), replace=True)
+    suffix = F.element_at(F.array(*map(F.lit, (".jpg", ".PNG", ".txt", ".webp"))), (F.col("n_nationkey") % 4 + 1).cast("int"))
+    name = F.concat(F.lit("region "), F.col("n_regionkey").cast("string"), F.lit("/"), F.col("n_nationkey").cast("string"), suffix)
+    writers.write_files(_table(spark, sf_dir, "nation").select(name.alias("name"), F.col("n_name").alias("content")), folder)
+    return folder
+
+
+def _below(column: str, parts: int = 2) -> F.Column:
+    return F.substring_index(column, "/", -parts)
+
+
+@_query(
+    f"WITH f AS ({_NAMED}) SELECT name, row_number() OVER (ORDER BY name) - 1 AS data_index FROM f "
+    "WHERE lower(string_split(name, '.')[-1]) IN ('jpg', 'png', 'webp')"
+)
+def image_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = readers.image_folder(spark, _named_files(spark, sf_dir))
+    return listed.select(_below("path").alias("name"), "data_index")
+
+
+@_query(f"WITH f AS ({_NAMED}) SELECT name, content FROM f WHERE name LIKE '%.jpg'")
+def image_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = readers.image_bytes(spark, _named_files(spark, sf_dir))
+    return found.select(_below("path").alias("name"), F.decode("content", "UTF-8").alias("content"))
+
+
+@_query(f"WITH f AS ({_NAMED}) SELECT name, length(content) AS size FROM f WHERE name LIKE '%.webp'")
+def listed_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contents of listed files, read by path."""
+    folder = _named_files(spark, sf_dir)
+    listed = readers.image_folder(spark, folder, suffixes=("webp",))
+    return encode.read_files(listed).select(_below("path").alias("name"), F.length("content").cast("long").alias("size"))
+
+
+@_query("SELECT n_regionkey AS rank, n_nationkey AS idx, CAST(row_number() OVER (ORDER BY n_regionkey, n_nationkey) - 1 AS INTEGER) AS shard FROM nation")
+def ranked_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _folder(spark, "ranked")
+    name = F.format_string("temp-%d_%d_embs.npy", "n_regionkey", "n_nationkey")
+    writers.write_files(_table(spark, sf_dir, "nation").select(name.alias("name"), F.col("n_name").alias("content")), folder)
+    return readers.ranked_files(spark, folder).select("rank", "idx", "shard")
+
+
+@_query("SELECT s_suppkey, s_name, s_nationkey FROM supplier")
+def json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON file per row, read again."""
+    folder = _folder(spark, "json")
+    rows = _table(spark, sf_dir, "supplier").select(
+        F.to_json(F.struct("s_suppkey", "s_name", "s_nationkey")).alias("json"),
+        F.concat(F.col("s_suppkey").cast("string"), F.lit(".json")).alias("name"),
+    )
+    writers.write_json_documents(rows, folder, name="name")
+    held = F.from_json("json", "s_suppkey long, s_name string, s_nationkey int")
+    return readers.json_documents(spark, folder).select(held.alias("d")).select("d.*")
+
+
+@_query(
+    """SELECT c_custkey, json_object('img_path', '/root/s' || c_custkey || '_pid1_cnt' || c_nationkey || '.jpg', 'frame_cnt', c_nationkey,
+'scene_str', 's' || c_custkey, 'face_id', c_nationkey) AS fields FROM customer
+WHERE c_nationkey IN (SELECT c_nationkey FROM customer GROUP BY c_nationkey HAVING count(*) BETWEEN 4 AND 1000)"""
+)
+def annotated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of the members of groups of a size band, with the image's and the group's fields."""
+    rows = _table(spark, sf_dir, "customer")
+    groups = rows.select(F.col("c_nationkey").cast("long").alias("group_id"), F.col("c_custkey").alias("member"))
+    path = F.format_string("s%d_pid1_cnt%d.jpg", "c_custkey", "c_nationkey")
+    items = rows.select(F.col("c_custkey").alias("member"), path.alias("path"))
+    documents = rows.select(F.regexp_replace(path, "jpg$", "json").alias("path"), F.to_json(F.struct("c_custkey")).alias("json"))
+    done = labels.annotated(clusters.size_band(groups, 4, 1000), items, documents, "/root/")
+    held = done.select(F.from_json("json", "c_custkey long, img_path string, frame_cnt string, scene_str string, face_id string").alias("d"), "json")
+    text = F.concat(F.lit("{"), F.substring_index(F.col("json"), ",", -4))
+    return held.select("d.c_custkey", text.alias("fields"))
+
+
+@_query("SELECT o_orderkey // 1000 AS batch, count(*) AS rows, CAST(sum(o_custkey) AS BIGINT) AS total FROM orders GROUP BY 1")
+def batch_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _folder(spark, "batches")
+    rows = _table(spark, sf_dir, "orders").withColumn("batch", F.floor(F.col("o_orderkey") / 1000)).select("batch", "o_custkey")
+    writers.write_batches(rows, folder)
+    back = spark.read.parquet(folder).groupBy(F.col("batch").cast("long").alias("batch"))
+    return back.agg(F.count("*").alias("rows"), F.sum("o_custkey").alias("total"))
+
+
+@_query(
+    f"""WITH {_CENTROID},
+d AS (SELECT p.label, vec_id, sum(x * m) AS dot, sqrt(sum(x * x)) AS lx, sqrt(sum(m * m)) AS lm
+  FROM p JOIN c USING (label, k) GROUP BY p.label, vec_id)
+SELECT 'a_' || label AS folder, 'x, "' || vec_id || '"' AS file_path, round(dot / (lx * lm), 6) + 0.0 AS score FROM d"""
+)
+def divergence_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores as comma-separated lines, with names that need quotes."""
+    folder = _folder(spark, "scores")
+    rows = centroids.divergence(_embeddings(spark, sf_dir)).select(
+        F.concat(F.lit("a/"), F.col("class").cast("string")).alias("folder"),
+        F.concat(F.lit('x, "'), F.col("id").cast("string"), F.lit('"')).alias("file_path"),
+        "score",
+    )
+    writers.write_divergence(rows, folder)
+    return spark.read.schema("folder string, file_path string, score double").csv(folder)
+
+
+@_query(f"WITH {_CENTROID} SELECT 'k_' || label AS class, k - 1 AS pos, round(m, 6) + 0.0 AS mean FROM c")
+def centroid_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder for every class; joint vectors, averaged as they are."""
+    folder = _folder(spark, "centroids")
+    rows = _embeddings(spark, sf_dir).select(F.concat(F.lit("k/"), F.col("label").cast("string")).alias("label"), "embedding")
+    writers.write_centroids(centroids.condition_centroids(rows, "label", joint="embedding"), folder, per_class=True)
+    return spark.read.parquet(folder).select("class", F.posexplode("centroid").alias("pos", "m")).select(
+        "class", F.col("pos").cast("long").alias("pos"), (F.round("m", 6) + F.lit(0.0)).alias("mean")
+    )
+
+
+_SHARD_HITS = f"""{_SIM},
+z AS (SELECT CAST(ceil(count(*) / {SHARDS}.0) AS BIGINT) AS width FROM embeddings),
+hits AS (SELECT * FROM (SELECT CAST(n // width AS INTEGER) AS shard, q, CAST(row_number() OVER (PARTITION BY q, n // width
+  ORDER BY CASE WHEN q = n THEN 0 ELSE 1 END, sim DESC, n) AS INTEGER) AS rk, n, sim FROM s, z) WHERE rk <= {K})
+"""
+
+
+@_query(f"WITH {_SHARD_HITS} SELECT shard, q, rk, n, sim FROM hits")
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rank searches its own shards and writes them beside the others'."""
+    df, folder = _embeddings(spark, sf_dir), _folder(spark, "shards")
+    rows = df.count()
+    for rank in range(SHARDS):
+        mine = [j for j in shards.plan_jobs(rows, SHARDS, -(-rows // SHARDS)) if j.rank == rank]
+        found = knn.sharded_topk(df, K, mine[-1].job + 1, mine[0].end - mine[0].start, first=mine[0].job)
+        writers.write_knn(found, folder, beside=True)
+    return spark.read.parquet(folder).select("shard", "q", "rk", "n", "sim")
+
+
+@_query(
+    f"""WITH RECURSIVE {_SHARD_HITS},
+c AS (SELECT q, n, n // width AS sn, q // width AS sq FROM hits, z WHERE sim > {DUPLICATE} AND q <> n),
+r0 AS (SELECT DISTINCT n AS id FROM c WHERE sn = 0 AND q < n),
+r1 AS (SELECT n AS id FROM c WHERE sn = 1 AND q < n
+  UNION SELECT q FROM c WHERE sn = 0 AND sq = 1 AND n NOT IN (SELECT id FROM r0)),
+removed AS (SELECT id FROM r0 UNION SELECT id FROM r1),
+h AS (SELECT q, n FROM hits WHERE sim > {CLUSTER} AND n NOT IN (SELECT id FROM removed)),
+rows AS (SELECT q, n AS member FROM h UNION SELECT q, q FROM h WHERE q NOT IN (SELECT id FROM removed)),
+links AS (SELECT DISTINCT x.member AS a, y.member AS b FROM rows x JOIN rows y ON x.q = y.q AND x.member < y.member),
+{_CC},
+m AS (SELECT DISTINCT member FROM rows),
+g AS (SELECT m.member, coalesce(cc.label, m.member) AS label FROM m LEFT JOIN cc ON cc.id = m.member)
+SELECT dense_rank() OVER (ORDER BY label) - 1 AS group_id, member FROM g"""
+)
+def process_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removal and groups out of stored lists of shards."""
+    hits, size = _sharded(spark, sf_dir)
+    config = pipelines.Config(policy="bridge", duplicate=DUPLICATE, cluster=CLUSTER, k=K, max_shard=size)
+    return pipelines.process_hits(hits, config, SHARDS).groups
+
+
+@_query(
+    """SELECT vec_id AS q, CAST(k AS INTEGER) AS rk, CAST([7, -1, 0, 3][k] + 100 AS BIGINT) AS n, CAST(embedding[k] AS DOUBLE) AS sim
+FROM embeddings, unnest([1, 3, 4]) AS t(k)"""
+)
+def wide_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide lists of a shard as rows: padding left out, the shard's offset added."""
+    wide = _embeddings(spark, sf_dir).select("vec_id", F.slice("embedding", 1, 4).alias("scores"), F.array(*map(F.lit, (7, -1, 0, 3))).alias("indices"))
+    return knn.to_long(wide, "vec_id", "scores", "indices", offset=100)
+
+
+@_query(
+    "SELECT vec_id, k - 1 AS pos, CAST(CAST(CAST(embedding[k] AS DOUBLE) * 3 AS FLOAT) AS DOUBLE) AS x "
+    "FROM embeddings, unnest(range(1, len(embedding) + 1)) AS t(k)"
+)
+def float_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tripled = F.transform(vectors.as_double("embedding"), lambda x: x * 3)
+    cast = _embeddings(spark, sf_dir).select("vec_id", F.posexplode(vectors.as_float(tripled)).alias("pos", "x"))
+    return cast.select("vec_id", F.col("pos").cast("long").alias("pos"), F.col("x").cast("double").alias("x"))
+
+
+@_query("SELECT CAST(o_orderkey % 3 AS INTEGER) AS shard, o_orderkey, o_custkey, o_orderstatus FROM orders")
+def union_and_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three shards on top of each other, and two columns side by side by index."""
+    rows = _table(spark, sf_dir, "orders")
+    left = readers.union_shards([rows.filter(F.col("o_orderkey") % 3 == n).select("o_orderkey", "o_custkey") for n in range(3)])
+    return readers.zip_by_index(left, rows.select("o_orderkey", "o_orderstatus"), "o_orderkey")
+
+
+@_query(
+    """WITH r AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus IS NOT DISTINCT FROM lag(o_orderstatus) OVER w
+  AND lag(o_orderkey) OVER w IS NOT NULL THEN 0 ELSE 1 END AS fresh FROM orders WINDOW w AS (ORDER BY o_orderkey))
+SELECT o_orderkey, CAST(sum(fresh) OVER (ORDER BY o_orderkey) AS BIGINT) AS run FROM r"""
+)
+def folder_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of equal values along an order: what a scan of sorted shards closes one by one."""
+    rows = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return centroids.flush_groups(rows, "o_orderstatus", "o_orderkey").select("o_orderkey", "run")
+
+
+@_query(
+    """WITH m AS (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS pos FROM embeddings),
+r AS (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY pos) AS k FROM m WHERE vec_id % 3 <> 0)
+SELECT 'group_' || lpad(CAST(label AS VARCHAR), 4, '0') AS folder, vec_id || '.ppm' AS name FROM r WHERE k <= 10"""
+)
+def preview_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten readable images of each class; every third is unreadable."""
+    place = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1
+    image = F.concat(F.encode(F.lit("P6 1 1 255\n"), "UTF-8"), F.unhex(F.lit("102030")))
+    members = _embeddings(spark, sf_dir).select(
+        F.col("label").alias("rank"),
+        place.alias("pos"),
+        F.concat(F.lit("x/"), F.col("vec_id").cast("string"), F.lit(".ppm")).alias("path"),
+        F.when(F.col("vec_id") % 3 != 0, image).otherwise(F.unhex(F.lit("00"))).alias("content"),
+    )
+    return writers.sheet_images(members, encode.decode_image, band=True).select("folder", "name")
+
+
+@_query(
+    """WITH p AS (SELECT n_nationkey, (n_nationkey * 10 / 255.0 - 0.5) / 0.5 AS v FROM nation)
+SELECT CAST(n_nationkey AS BIGINT) AS data_index, CAST(k AS BIGINT) AS pos, round(v * k, 5) + 0.0 AS value FROM p, unnest([0, 1, 2]) AS t(k)"""
+)
+def image_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images of one colour through decoding, scaling, normalising and an encoder that weighs the channels."""
+    level = F.lpad(F.hex(F.col("n_nationkey") * 10), 2, "0")
+    image = F.concat(F.encode(F.lit("P6 1 1 255\n"), "UTF-8"), F.unhex(F.concat(level, level, level)))
+    items = _table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("data_index"), image.alias("content"))
+    made = encode.encode(items, _channel_means, dim=3, normalise=False, batch=7)
+    return made.select("data_index", F.posexplode("embedding").alias("pos", "value")).select(
+        "data_index", F.col("pos").cast("long").alias("pos"), (F.round(F.col("value").cast("double"), 5) + F.lit(0.0)).alias("value")
+    )
+
+
+def _channel_means() -> Callable[[list], np.ndarray]:
+    def run(items: list) -> np.ndarray:
+        pixels = np.stack([encode.preprocess(encode.decode_image(item)) for item in items])
+        return pixels.mean((2, 3), dtype=np.float64) * np.arange(3)
+
+    return run
+
+
+@_query(
+    """SELECT doc_id AS data_index, round(length(coalesce(text, '')) / sqrt(length(coalesce(text, '')) ** 2 + 1), 5) AS long,
+round(1 / sqrt(length(coalesce(text, '')) ** 2 + 1), 5) AS one FROM documents"""
+)
+def encoded_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The encoder seam with unit vectors of (length, 1)."""
+    items = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("data_index"), F.coalesce("text", F.lit("")).alias("content"))
+    made = encode.encode(items, _lengths, dim=2)
+    at = lambda k: F.round(F.element_at("embedding", k).cast("double"), 5)
+    return made.select("data_index", at(1).alias("long"), at(2).alias("one"))
+
+
+def _lengths() -> Callable[[list], np.ndarray]:
+    return lambda items: np.array([[len(t), 1] for t in items], np.float32)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -11,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import grouping, runtime
 from ..functions import names
 from ..operators import clusters, shards
 
@@ -98,13 +100,84 @@ def write_centroids(rows: DataFrame, folder: str, per_class: bool = False) -> No
     (writer.partitionBy("class") if per_class else writer).parquet(folder)
 
 
-def write_knn(knn: DataFrame, folder: str) -> None:
-    """Hit lists partitioned by shard, indices those of the whole collection."""
-    knn.write.partitionBy("shard").mode("overwrite").parquet(folder)
+def write_knn(knn: DataFrame, folder: str, beside: bool = False) -> None:
+    """Hit lists partitioned by shard, indices those of the whole collection.
 
+    With ``beside`` only the shards in ``knn`` are replaced: several ranks write to one folder.
+    """
+    writer = knn.write.partitionBy("shard").mode("overwrite")
+    (writer.option("partitionOverwriteMode", "dynamic") if beside else writer).parquet(folder)
+
+
+def write_files(rows: DataFrame, folder: str, name: str = "name", content: str = "content") -> DataFrame:
+    """One file per row below a folder that all executors share; returns (name, size) of those written.
+
+    Files of one name replace each other.  Each is written whole under another name and then
+    moved, so a task that is run again leaves no half of a file.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from ..sources.readers import _open
+
+        for batch in batches:
+            done: list[tuple[str, int]] = []
+            for file, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                data = data.encode() if isinstance(data, str) else data
+                system, place = _open(f"{folder.rstrip('/')}/{file}")
+                system.create_dir(place.rsplit("/", 1)[0], recursive=True)
+                beside = f"{place}.{uuid.uuid4().hex}.tmp"
+                with system.open_output_stream(beside) as out:
+                    out.write(data)
+                system.move(beside, place)
+                done.append((file, len(data)))
+            yield pa.record_batch(
+                [pa.array([n for n, _ in done], pa.string()), pa.array([c for _, c in done], pa.int64())], ["name", "size"]
+            )
 
-def write_json_documents(rows: DataFrame, folder: str, json: str = "json") -> None:
-    """One JSON document per line."""
+    return runtime.written(rows.select(name, content).mapInArrow(run, "name string, size long"), "files")
+
+
+def npy_bytes(array: np.ndarray) -> bytes:
+    out = io.BytesIO()
+    np.save(out, array, allow_pickle=False)
+    return out.getvalue()
+
+
+def write_npy(
+    df: DataFrame, folder: str, prefix: str = "embs_", key: str = "data_index", value: str = "embedding", rows_per_file: int = 65536
+) -> DataFrame:
+    """Array shards ``{prefix}{number}.npy`` of ``rows_per_file`` rows by index: vectors, or strings.
+
+    Vectors of one file are of one length; null values fail.  Returns (name, size).
+    """
+    vector = df.schema[value].dataType.typeName() == "array"
+    source = df.select(F.col(key).cast("long").alias("k"), F.col(value).cast("array<float>" if vector else "string").alias("v"))
+    source = source.withColumn("part", F.floor(F.col("k") / rows_per_file).cast("long"))
+
+    def make(group: pa.Table) -> Iterator[pa.RecordBatch]:
+        if group["v"].null_count:
+            raise ValueError("an array file has no place for a null")
+        order = np.argsort(group["k"].to_numpy(), kind="stable")
+        values = group["v"].combine_chunks().take(pa.array(order))
+        if vector:
+            flat = values.flatten().to_numpy(zero_copy_only=False)
+            array = flat.reshape(len(values), -1)
+            if (np.diff(values.offsets.to_numpy()) != array.shape[1]).any():
+                raise ValueError("vectors of one file must be of one length")
+        else:
+            array = np.array(values.to_pylist())
+        name = f"{prefix}{group['part'][0].as_py()}.npy"
+        yield pa.record_batch([pa.array([name]), pa.array([npy_bytes(array)], pa.binary())], ["name", "content"])
+
+    files = grouping.map_groups(source, "part", make, "name string, content binary", runtime.shuffle_partitions(df.sparkSession))
+    return write_files(files, folder)
+
+
+def write_json_documents(rows: DataFrame, folder: str, json: str = "json", name: str | None = None) -> None:
+    """One JSON document per line, or, with the column ``name``, one file per document."""
+    if name is not None:
+        write_files(rows, folder, name, json)
+        return
     rows.select(F.col(json).alias("value")).write.mode("overwrite").text(folder)
 
 
@@ -127,37 +200,55 @@ def sheet_images(
 ) -> DataFrame:
     """(folder, name, image): the first ``limit`` readable images of each group, scaled, as PPM bytes.
 
-    ``members`` has (group, pos, path, content).  ``decode`` gives H x W x 3 bytes,
-    or None if unreadable; unreadable images do not count.  Images of one name in
+    ``members`` has (group, pos, path) and perhaps content; without it the files at the paths
+    are read, and those that are not there count as unreadable.  ``decode`` gives H x W x 3
+    bytes, or None if unreadable; unreadable images do not count.  Images of one name in
     one group overwrite each other and count each.  ``band`` paints the last rows
-    in the group's colour.
+    in the group's colour.  A group is read in its order and no further than its
+    last image needs.
     """
-    from pyspark.sql import Window
+    held = "content" in members.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from ..sources.readers import _open
+
+        last, count = None, 0
         for batch in batches:
-            g, pos, name, image = [], [], [], []
-            for number, place, path, content in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                pixels = decode(content) if content is not None else None
+            g, place, name, image = [], [], [], []
+            columns = [batch.column(i).to_pylist() for i in range(4 if held else 3)]
+            for number, pos, path, *content in zip(*columns):
+                if number != last:
+                    last, count = number, 0
+                if count >= limit:
+                    continue
+                data = content[0] if held else None
+                if not held and path is not None:
+                    try:
+                        system, where = _open(path)
+                        with system.open_input_file(where) as file:
+                            data = file.read()
+                    except (OSError, ValueError):  # not there, or no name of a file at all
+                        data = None
+                pixels = decode(data) if data is not None else None
                 if pixels is None:
                     continue
+                count += 1
                 pixels = resize(pixels, size)
                 if band:
                     pixels[size - size * 12 // 112 :] = band_colour(number)
                 g.append(number)
-                pos.append(place)
+                place.append(pos)
                 name.append(path.rsplit("/", 1)[-1])
                 image.append(encode_ppm(pixels))
             yield pa.record_batch(
-                [pa.array(g, pa.int64()), pa.array(pos, pa.int64()), pa.array(name, pa.string()), pa.array(image, pa.binary())],
+                [pa.array(g, pa.int64()), pa.array(place, pa.int64()), pa.array(name, pa.string()), pa.array(image, pa.binary())],
                 ["g", "pos", "name", "image"],
             )
 
-    source = members.select(F.col(group).cast("long"), F.col("pos").cast("long"), "path", "content")
-    done = source.mapInArrow(run, "g long, pos long, name string, image binary")
-    place = F.row_number().over(Window.partitionBy("g").orderBy("pos"))
-    kept = done.withColumn("r", place).filter(F.col("r") <= limit)
-    last = kept.groupBy("g", "name").agg(F.max_by("image", "r").alias("image"))
+    source = members.select(F.col(group).cast("long").alias("g"), F.col("pos").cast("long").alias("p"), "path", *(["content"] if held else []))
+    whole = source.repartition(runtime.shuffle_partitions(members.sparkSession), "g").sortWithinPartitions("g", "p")
+    done = whole.mapInArrow(run, "g long, pos long, name string, image binary")
+    last = done.groupBy("g", "name").agg(F.max_by("image", "pos").alias("image"))
     return last.select(names.group_name("g").alias("folder"), "name", "image")
 
 

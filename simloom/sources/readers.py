@@ -56,12 +56,17 @@ def image_bytes(spark: SparkSession, folder: str, glob: str = "*.jpg") -> DataFr
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, at, line): lines with their order in the file.  Whole files are read one per row, as
-    ordinals need it; very large catalogs belong in Parquet with a stored index."""
-    whole = spark.read.format("binaryFile").load(path).select("path", F.decode("content", "UTF-8").alias("t"))
-    parts = whole.select(F.col("path").alias("file"), F.posexplode(F.split("t", "\n")).alias("at", "line"), F.size(F.split("t", "\n")).alias("c"))
-    # a final line feed ends the last line, it begins none
-    return parts.filter((F.col("at") < F.col("c") - 1) | (F.col("line") != "")).select("file", "at", "line")
+    """(file, at, line): lines with what orders them in their file.
+
+    Files are read in byte ranges by many tasks.  A range's rows come in order, so a
+    line's place is the start of its range and its row in the task.
+    """
+    text = spark.read.option("lineSep", "\n").text(path)
+    return text.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row")).alias("at"),
+        F.col("value").alias("line"),
+    )
 
 
 def path_list(spark: SparkSession, path: str) -> DataFrame:
@@ -99,6 +104,19 @@ def json_documents(spark: SparkSession, folder: str, glob: str = "*.json") -> Da
     return reader.load(folder).select("path", F.decode("content", "UTF-8").alias("json"))
 
 
+def ranked_files(spark: SparkSession, folder: str, glob: str = "temp-*.npy") -> DataFrame:
+    """(path, rank, idx, shard): files named ``...-{rank}_{idx}_...`` in the order of the two numbers.
+
+    ``shard`` numbers them from 0.  A name without the two numbers raises.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("path")
+    rank, idx = names.rank_index("path")
+    bad = F.raise_error(F.concat(F.lit("no rank and index in "), "path")).cast("int")
+    found = files.select("path", F.coalesce(rank, bad).alias("rank"), F.coalesce(idx, bad).alias("idx"))
+    order = Window.orderBy("rank", "idx", "path")  # one row a file
+    return found.withColumn("shard", F.row_number().over(order) - 1)
+
+
 def npy_files(spark: SparkSession, folder: str) -> DataFrame:
     """(path, kind, shard): the ``.npy`` files of a folder, not below it, in natural order.
 
@@ -115,40 +133,80 @@ def npy_files(spark: SparkSession, folder: str) -> DataFrame:
     return files.withColumn("kind", kind).filter("kind IS NOT NULL").withColumn("shard", F.row_number().over(order) - 1)
 
 
-def _load_npy(content: bytes) -> np.ndarray:
-    """An array out of the bytes of an ``.npy`` file.  Pickled objects are refused."""
-    import io
+#: Rows of an array file that one task reads at a time.
+NPY_ROWS = 1 << 16
+
 
-    return np.load(io.BytesIO(content), allow_pickle=False)
+def _open(path: str) -> tuple[object, str]:
+    """The file system of a path, and the path in it."""
+    from pyarrow import fs
 
+    if path.startswith("file:"):
+        path = "/" + path[5:].lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
-def npy_rows(spark: SparkSession, files: DataFrame, rows_per_batch: int = 4096) -> DataFrame:
-    """(shard, row, embedding, value) of ``.npy`` files: vectors of 2-d arrays, strings of 1-d ones."""
-    listed = files.select("path", "shard").collect()  # one row per shard file
-    paths = [r["path"] for r in listed]
-    content = spark.read.format("binaryFile").load(paths).select("path", "content")
-    joined = content.join(files.select("path", "shard"), "path").select("shard", "content")
+
+def _npy_head(path: str) -> tuple[tuple[int, ...], np.dtype, int]:
+    """(shape, type, where the data begin) of an ``.npy`` file; only its head is read."""
+    system, place = _open(path)
+    with system.open_input_file(place) as file:
+        version = np.lib.format.read_magic(file)
+        read = np.lib.format.read_array_header_1_0 if version == (1, 0) else np.lib.format.read_array_header_2_0
+        shape, fortran, dtype = read(file)
+        if dtype.hasobject:
+            raise ValueError(f"{path} holds pickled objects, which are refused")
+        if fortran and len(shape) > 1:
+            raise ValueError(f"{path} is in column order")
+        if len(shape) not in (1, 2):
+            raise ValueError(f"an array of {len(shape)} dimensions has no rows of vectors or strings")
+        return shape, dtype, file.tell()
+
+
+def npy_rows(spark: SparkSession, files: DataFrame, rows_per_batch: int = 4096, rows_per_task: int = NPY_ROWS) -> DataFrame:
+    """(shard, row, embedding, value) of ``.npy`` files: vectors of 2-d arrays, strings of 1-d ones.
+
+    The heads tell how many rows there are; ranges of ``rows_per_task`` rows are then
+    read by seeking, so a file of any size is read by many tasks and none holds it.
+    """
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[str, int, int, int]] = []
+            for path, shard in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                rows = _npy_head(path)[0][0]
+                out += [(path, shard, lo, min(rows_per_task, rows - lo)) for lo in range(0, rows, rows_per_task)]
+            columns = list(zip(*out)) or [(), (), (), ()]
+            types = (pa.string(), pa.int32(), pa.int64(), pa.int64())
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], ["path", "shard", "lo", "n"])
+
+    cut = files.select("path", F.col("shard").cast("int")).mapInArrow(ranges, "path string, shard int, lo long, n long")
+    cut = runtime.written(cut, "npy-ranges")
+    tasks = max(1, min(cut.count(), 100_000))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                array = _load_npy(content)
-                if array.ndim not in (1, 2):
-                    raise ValueError(f"an array of {array.ndim} dimensions has no rows of vectors or strings")
-                for lo in range(0, len(array), rows_per_batch):
-                    part = array[lo : lo + rows_per_batch]
-                    two = array.ndim == 2
-                    yield pa.record_batch(
-                        [
-                            pa.array(np.full(len(part), shard, np.int32)),
-                            pa.array(np.arange(lo, lo + len(part), dtype=np.int64)),
-                            pa.array(list(part.astype(np.float32)) if two else [None] * len(part), pa.list_(pa.float32())),
-                            pa.array([None] * len(part) if two else [str(x) for x in part], pa.string()),
-                        ],
-                        ["shard", "row", "embedding", "value"],
-                    )
-
-    return joined.mapInArrow(run, "shard int, row long, embedding array<float>, value string")
+            for path, shard, start, count in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                shape, dtype, data = _npy_head(path)
+                two = len(shape) == 2
+                width = dtype.itemsize * (shape[1] if two else 1)
+                system, place = _open(path)
+                with system.open_input_file(place) as file:
+                    for lo in range(start, start + count, rows_per_batch):
+                        size = min(rows_per_batch, start + count - lo)
+                        file.seek(data + lo * width)
+                        part = np.frombuffer(file.read(size * width), dtype)
+                        part = part.reshape(size, -1) if two else part
+                        yield pa.record_batch(
+                            [
+                                pa.array(np.full(size, shard, np.int32)),
+                                pa.array(np.arange(lo, lo + size, dtype=np.int64)),
+                                pa.array(list(part.astype(np.float32)) if two else [None] * size, pa.list_(pa.float32())),
+                                pa.array([None] * size if two else [str(x) for x in part], pa.string()),
+                            ],
+                            ["shard", "row", "embedding", "value"],
+                        )
+
+    return cut.repartition(tasks, "path", "lo").mapInArrow(run, "shard int, row long, embedding array<float>, value string")
 
 
 def npy_table(spark: SparkSession, folder: str) -> DataFrame:

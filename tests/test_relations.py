@@ -2,6 +2,8 @@
 
 import json
 import os
+import struct
+import zlib
 
 import numpy as np
 import pytest
@@ -157,7 +159,7 @@ def test_array_folder(spark, tmp_path):
 def test_arrays_of_objects_are_refused(spark, tmp_path):
     np.save(tmp_path / "embs_1.npy", np.array([{"a": 1}], dtype=object))
     np.save(tmp_path / "fpaths_1.npy", np.array(["a"]))
-    with pytest.raises(Exception, match="allow_pickle"):
+    with pytest.raises(Exception, match="pickled objects"):
         readers.npy_table(spark, f"file://{tmp_path}").collect()
 
 
@@ -165,6 +167,55 @@ def picture(value):
     return np.full((4, 6, 3), value, np.uint8)
 
 
+def test_images_of_several_formats():
+    rng = np.random.default_rng(3)
+    pixels = rng.integers(0, 256, (5, 7, 3), np.uint8)
+    row = np.zeros((5, 24), np.uint8)
+    row[:, :21] = pixels[::-1, :, ::-1].reshape(5, 21)
+    bmp = b"BM" + struct.pack("<IHHIIiiHHIIiiII", 54 + 120, 0, 0, 54, 40, 7, 5, 1, 24, 0, 120, 0, 0, 0, 0) + row.tobytes()
+    assert (encode.decode_image(bmp) == pixels).all()
+
+    def chunk(kind, body):
+        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+    # one line of each filter
+    flat, lines = pixels.astype(int).reshape(5, 21), []
+    for y, kind in enumerate((0, 1, 2, 3, 4)):
+        left = np.concatenate([[0] * 3, flat[y, :-3]])
+        up = flat[y - 1] if y else np.zeros(21, int)
+        corner = np.concatenate([[0] * 3, up[:-3]])
+        a, b, c = abs(up - corner), abs(left - corner), abs(left + up - 2 * corner)
+        paeth = np.where((a <= b) & (a <= c), left, np.where(b <= c, up, corner))
+        guess = (0, left, up, (left + up) // 2, paeth)[kind]
+        lines.append(bytes([kind]) + ((flat[y] - guess) % 256).astype(np.uint8).tobytes())
+    head = struct.pack(">IIBBBBB", 7, 5, 8, 2, 0, 0, 0)
+    png = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(b"".join(lines))) + chunk(b"IEND", b"")
+    assert (encode.decode_image(png) == pixels).all()
+    assert (encode.decode_image(writers.encode_ppm(pixels)) == pixels).all()
+    for broken in (b"", b"BM", png[:40], bmp[:60], b"\xff\xd8\xff"):
+        assert encode.decode_image(broken) is None
+
+
+def test_a_hot_folder_is_joined_nowhere(spark, rows, monkeypatch):
+    """Per-folder results with broadcasts switched off, dictionaries flushed often and one folder holding most rows."""
+    monkeypatch.setattr(listing, "DICTIONARY", 3)
+    data = [(n, "hot/" if n % 5 else f"f{n % 35}", f"d/s{n % 50}/x{n % 400}.jpg") for n in range(2000)] + [(2000, None, "p"), (2001, "f", None)]
+    df = spark.createDataFrame(data, "list_pos long, folder string, file_path string").repartition(6)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = listing.folder_results(df)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = {tuple(r) for r in found.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want: dict = {}
+    for _, f, p in data:
+        if f is not None and p is not None:
+            want.setdefault(f.rstrip("/"), set()).add(p)
+    assert got == {(f, len(ps), len({p.split("/")[-2] for p in ps}), min(ps)) for f, ps in want.items()}
+    assert "Join" not in plan and listing.folder_results(df.limit(0)).count() == 0
+
+
 def test_images_and_encoder(spark, tmp_path, rows):
     for name, value in (("b.PNG", 10), ("a.jpg", 200)):
         (tmp_path / name).write_bytes(writers.encode_ppm(picture(value)))
@@ -270,7 +321,7 @@ def test_batches_hits_and_documents(spark, tmp_path, rows):
     (tmp_path / "docs" / "a.json").write_text('{"a": 1}')
     docs = readers.json_documents(spark, f"file://{tmp_path}/docs")
     writers.write_json_documents(docs.select(labels.augment_json(docs, "json", {"b": F.lit("x")}).alias("json")), f"file://{tmp_path}/out")
-    assert json.loads(spark.read.text(f"file://{tmp_path}/out").first()["value"]) == {"a": "1", "b": "x"}
+    assert json.loads(spark.read.text(f"file://{tmp_path}/out").first()["value"]) == {"a": 1, "b": "x"}
     left = spark.createDataFrame([(0, "x")], "data_index long, a string")
     with pytest.raises(ValueError, match="1 rows on one side but 2"):
         readers.zip_by_index(left, df.select("data_index", "path"))
