@@ -46,6 +46,14 @@ def p6_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.assign_splits(components, _table(spark, sf_dir, "split_shares"))
 
 
+def p6_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The splits' properties, over the whole list: shares, and folders and subjects that stand in two."""
+    data, shares = _table(spark, sf_dir, "data_list"), _table(spark, sf_dir, "split_shares")
+    components = splits.runtime.written(splits.folder_components(data), "components")
+    given = splits.runtime.written(splits.assign_splits(components, shares), "given")
+    return splits.checked(splits.clean_listing(data), given, components, shares)
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bisecting.vector_clusters(_table(spark, sf_dir, "face_embs")).select("cluster_id", "data_index")
 
@@ -95,7 +103,7 @@ def p10_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
-        p1_found, p1_similar, p3_found, p3_groups, p4_found, p6_found, p6_splits, p7_found, p7_described, p7_leaves,
+        p1_found, p1_similar, p3_found, p3_groups, p4_found, p6_found, p6_splits, p6_checked, p7_found, p7_described, p7_leaves,
         p8_found, p8_packed, p8_fill, p9_found, p9_passages, p9_near, p10_found, p10_shared,
     ]
     return {f.__name__: f for f in named}
@@ -142,6 +150,21 @@ ig AS (SELECT item_id, array_to_string(w[k:k + 11], ' ') AS g FROM i, unnest(ran
 SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)
 """
 
+_P9_PASSAGES = _P9_RUNS.replace("SELECT doc_id, array_to_string", "SELECT doc_id, k, array_to_string").replace(
+    "SELECT item_id, array_to_string", "SELECT item_id, k, array_to_string"
+).replace(
+    "SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)",
+    """, m AS (SELECT doc_id, item_id, dg.k AS a, ig.k AS b FROM dg JOIN ig USING (g)),
+r AS (SELECT *, b - row_number() OVER (PARTITION BY doc_id, item_id, a - b ORDER BY b) AS island FROM m)
+SELECT doc_id, item_id, CAST(min(a) - 1 AS INTEGER) AS doc_from, CAST(min(b) - 1 AS INTEGER) AS item_from, CAST(count(*) + 11 AS INTEGER) AS run
+FROM r GROUP BY doc_id, item_id, a - b, island""",
+)
+
+# decisions of more words than a container has tokens; none is near that (see the test data's description)
+_P8 = """
+SELECT doc_id FROM documents WHERE len(regexp_extract_all(text, '[^\\s]+')) > 8192
+"""
+
 _P10 = """
 WITH g AS (
   SELECT DISTINCT doc_id, hash(substring(text, CAST(k AS INTEGER), 300)) AS h
@@ -152,5 +175,29 @@ FROM g a JOIN g b ON a.h = b.h AND a.doc_id < b.doc_id WHERE a.h IN (SELECT h FR
 """
 
 
+_P10_SHARED = """
+WITH g AS (
+  SELECT doc_id, k, hash(substring(text, CAST(k AS INTEGER), 300)) AS h
+  FROM documents, unnest(range(1, length(text) - 298)) AS t(k) WHERE length(text) >= 300),
+m AS (SELECT h FROM g GROUP BY h HAVING count(DISTINCT doc_id) > 1),
+s AS (SELECT doc_id, k, h FROM g WHERE h IN (SELECT h FROM m)),
+c AS (SELECT doc_id, CAST(sum(least(300, coalesce(k - before, 300))) AS BIGINT) AS shared_chars FROM (
+  SELECT doc_id, k, lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS before FROM s) GROUP BY doc_id),
+p AS (SELECT a.doc_id, count(DISTINCT b.doc_id) AS partners FROM (SELECT DISTINCT doc_id, h FROM s) a
+  JOIN (SELECT DISTINCT doc_id, h FROM s) b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY a.doc_id)
+SELECT doc_id, length(text) AS n_chars, shared_chars, partners FROM c JOIN p USING (doc_id) JOIN documents USING (doc_id)
+"""
+
+# what any right assignment has: all folders, once each, folders of one subject together, shares near the fractions
+_P6_CHECKED = f"""
+WITH {_LISTING}
+SELECT split_name, fraction, true AS near, (SELECT count(DISTINCT folder) FROM listing) AS folders, CAST(0 AS BIGINT) AS torn_folders,
+  CAST(0 AS BIGINT) AS torn_subjects FROM split_shares WHERE fraction > 0
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p4_found": _P4, "p6_found": _P6, "p9_found": _P9_RUNS, "p10_found": _P10}
+    return {
+        "p4_found": _P4, "p6_found": _P6, "p6_checked": _P6_CHECKED, "p8_found": _P8, "p9_found": _P9_RUNS,
+        "p9_passages": _P9_PASSAGES, "p10_found": _P10, "p10_shared": _P10_SHARED,
+    }

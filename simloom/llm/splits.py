@@ -151,3 +151,26 @@ def assign_splits(components: DataFrame, shares: DataFrame) -> DataFrame:
     return components.join(placed.select("component", "split_name"), "component").select(
         "folder", "component", "split_name"
     )
+
+
+def checked(listing: DataFrame, given: DataFrame, components: DataFrame, shares: DataFrame) -> DataFrame:
+    """(split_name, fraction, near, folders, torn_folders, torn_subjects) of an assignment.
+
+    ``near`` tells whether the split's share of the listings is off its fraction by no more
+    than the heaviest component, which cannot be cut; ``folders`` counts the assigned
+    folders, the torn ones stand in two splits.
+    """
+    placed = listing.join(given.select("folder", "split_name"), "folder")
+    total = components.agg(F.sum("n").alias("all"))
+    heaviest = components.groupBy("component").agg(F.sum("n").alias("w")).agg(F.max("w").alias("heaviest"))
+    held = placed.groupBy("split_name").agg(F.count("*").alias("held"))
+    torn = lambda by: (
+        placed.select(by, "split_name").distinct().groupBy(by).agg(F.count("*").alias("c")).agg(F.count_if(F.col("c") > 1).alias(f"torn_{by}s"))
+    )
+    folders = given.agg(F.countDistinct("folder").alias("folders"))
+    one = total.crossJoin(heaviest).crossJoin(folders).crossJoin(torn("folder")).crossJoin(torn("subject"))  # one row
+    rows = shares.filter("fraction > 0").join(held, "split_name", "left").crossJoin(F.broadcast(one))
+    off = F.abs(F.coalesce("held", F.lit(0)) - F.col("fraction") * F.col("all"))
+    return rows.select(
+        "split_name", "fraction", (off <= F.col("heaviest")).alias("near"), "folders", "torn_folders", "torn_subjects"
+    )

@@ -128,6 +128,40 @@ def test_proximity_bridges_changed_words(spark):
     assert (row["doc_from"], row["item_from"], row["run"]) == (1, 0, 8)
 
 
+def test_a_stored_index_is_searched_without_the_texts(spark, tmp_path, monkeypatch):
+    """Small segments, items in several groups, an index that is added to and opened again: the same passages."""
+    rnd = random.Random(6)
+    text = lambda n: " ".join(rnd.choice("abcdefg") for _ in range(n))
+    docs = [(d, text(60)) for d in range(30)]
+    items = spark.createDataFrame([(i, text(20)) for i in range(9)] + [(9, None)], "item_id long, text string")
+    whole = {tuple(r) for r in leakage.leaked_passages(documents(spark, docs), items, 5).collect()}
+    near = {tuple(r) for r in leakage.leaked_passages(documents(spark, docs), items, 8, slop=1).collect()}
+    monkeypatch.setattr(leakage, "SEGMENT_CHARS", 300)
+    monkeypatch.setattr(leakage, "MAX_ITEM_WORDS", 50)
+    monkeypatch.setattr(leakage, "GRID", 64)
+    folder = f"file://{tmp_path}/index"
+    for part in (docs[:11], docs[11:]):
+        leakage.CorpusIndex(spark, folder).add(documents(spark, part))
+    index = leakage.CorpusIndex(spark, folder)
+    assert len(index.runs) == 2
+    assert whole and {tuple(r) for r in leakage.leaked_passages(None, items, 5, index=index).collect()} == whole
+    assert near and {tuple(r) for r in leakage.leaked_passages(None, items, 8, slop=1, index=index).collect()} == near
+    # brute force of the proximity matches
+    words, want = {d: t.split() for d, t in docs}, set()
+    for item, t in ((r["item_id"], r["text"].split()) for r in items.filter("text IS NOT NULL").collect()):
+        for d, w in words.items():
+            for shift in range(-len(t), len(w)):
+                at = [k for k in range(len(t)) if 0 <= k + shift < len(w) and w[k + shift] == t[k]]
+                runs = [[at[0]]] if at else []
+                for k in at[1:]:
+                    runs[-1].append(k) if k - runs[-1][-1] <= 2 else runs.append([k])
+                for run in runs:
+                    whole_stretch = any(set(range(k, k + 4)) <= set(run) for k in run)
+                    if len(run) >= 8 and whole_stretch:
+                        want.add((d, item, run[0] + shift, run[0], len(run)))
+    assert near == want
+
+
 # --- shared spans
 
 
