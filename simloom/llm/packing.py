@@ -4,9 +4,9 @@ Texts are measured by a public tokenizer.  A size between C/(j+1) (exclusive)
 and C/j (inclusive) is of class j, and a container of class j takes exactly j
 texts of it, whatever their sizes; classes beyond the last are merged into one
 that is filled next-fit.  A class is filled independently of all others, and
-inside a class every task fills its own slice, so nothing is ordered globally:
-each slice leaves one open container a class at most, and the open ones of all
-slices (a bounded number) are merged in a second, small pass.
+inside a class every task fills its own slice, ``LOT`` texts at a time, so nothing is
+ordered globally and no task holds more: each lot leaves one open container a class
+at most, and the open ones are merged in a second, small pass, ``OPEN`` of them a task.
 
 A text longer than a container is cut into whole containers and a rest, which
 is packed like a text of its own; no other text is cut.
@@ -26,6 +26,8 @@ from .. import runtime
 CAPACITY = 8192
 #: Sizes of at most CAPACITY / CLASSES are one class.
 CLASSES = 64
+#: Texts that a task fills into containers at a time, and open containers that one task merges.
+LOT, OPEN = 1 << 18, 2048
 #: Characters handed to the tokenizer at a time; a longer text is cut at white space.
 PIECE = 1 << 16
 
@@ -118,12 +120,12 @@ def _fill(sizes: np.ndarray, capacity: int, classes: int) -> tuple[np.ndarray, n
         if c < classes:
             number = np.arange(len(at)) // c
         else:  # next-fit by running sums: a container begins where the sum would overflow
-            number, room, now = np.empty(len(at), np.int64), capacity, 0
-            for k, size in enumerate(sizes[at]):
-                if size > room:
-                    now, room = now + 1, capacity
-                number[k] = now
-                room -= size
+            upto = np.concatenate([[0], np.cumsum(sizes[at])])
+            begins, lo = [], 0
+            while lo < len(at):
+                begins.append(lo)
+                lo = max(lo + 1, int(np.searchsorted(upto, upto[lo] + capacity, side="right")) - 1)
+            number = np.searchsorted(begins, np.arange(len(at)), side="right") - 1
         bins[at] = used + number
         used += int(number[-1]) + 1
     return bins, kind
@@ -153,27 +155,37 @@ def pack(counts: DataFrame, capacity: int = CAPACITY, classes: int = CLASSES) ->
         from pyspark import TaskContext
 
         slice_no = TaskContext.get().partitionId()
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        table = pa.Table.from_batches(held)
-        sizes = table["tokens"].to_numpy()
-        bins, kind = _fill(sizes, capacity, classes)
-        number = np.bincount(bins)
-        load = np.bincount(bins, weights=sizes)
-        # a container of class j is closed with j texts; of the last class if half full at least
-        closed = np.where(kind < classes, number[bins] >= kind, load[bins] * 2 >= capacity)
-        names = [f"{slice_no}-{b}" for b in bins]
-        yield pa.record_batch(
-            [
-                pa.array(names),
-                table["doc_id"].combine_chunks(),
-                table["part"].combine_chunks(),
-                table["tokens"].combine_chunks(),
-                pa.array(closed),
-            ],
-            ["container", "doc_id", "part", "tokens", "closed"],
-        )
+        held: list[pa.RecordBatch] = []
+        rows = done = 0
+
+        def filled() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
+            sizes = table["tokens"].to_numpy()
+            bins, kind = _fill(sizes, capacity, classes)
+            number = np.bincount(bins)
+            load = np.bincount(bins, weights=sizes)
+            # a container of class j is closed with j texts; of the last class if half full at least
+            closed = np.where(kind < classes, number[bins] >= kind, load[bins] * 2 >= capacity)
+            names = pa.array([f"{slice_no}-{done}-{b}" for b in range(len(number))], pa.string())
+            return pa.record_batch(
+                [
+                    names.take(pa.array(bins)),
+                    table["doc_id"].combine_chunks(),
+                    table["part"].combine_chunks(),
+                    table["tokens"].combine_chunks(),
+                    pa.array(closed),
+                ],
+                ["container", "doc_id", "part", "tokens", "closed"],
+            )
+
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= LOT:
+                yield filled()
+                held, rows, done = [], 0, done + 1
+        if rows:
+            yield filled()
 
     schema = "container string, doc_id long, part int, tokens long, closed boolean"
     # slices as large as the session's partitions; the content decides the order in them
@@ -208,7 +220,7 @@ def pack(counts: DataFrame, capacity: int = CAPACITY, classes: int = CLASSES) ->
         names = [f"open-{TaskContext.get().partitionId()}-{b}" for b in into]
         yield pa.record_batch([table["container"].combine_chunks(), pa.array(names)], ["container", "merged"])
 
-    few = max(1, runtime.fan_out(counts, copies=0.2) // 8)
+    few = max(1, -(-lots.count() // OPEN))
     merged = lots.repartition(few, "container").sortWithinPartitions("container")
     merged = merged.mapInArrow(merge, "container string, merged string")
     rest = left.join(merged, "container").select(F.col("merged").alias("container"), "doc_id", "part", "tokens")

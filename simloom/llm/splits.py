@@ -15,6 +15,8 @@ number of listings at the split borders.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,11 +27,11 @@ from ..operators.listing import clean_listing
 HEAVY = 0.001
 
 
-def contract(links: DataFrame, max_rounds: int = 200, seed: int = 11) -> DataFrame:
+def contract(links: DataFrame, seed: int = 11) -> DataFrame:
     """(node, component) for every end of a link; ``component`` is one node of the component.
 
     ``links`` has long columns a and b; rows with a null end or equal ends are
-    left out; an empty table gives an empty result.
+    left out; an empty table gives an empty result.  Rounds go on until no link is left.
     """
     spark = links.sparkSession
     edges = runtime.written(
@@ -41,7 +43,7 @@ def contract(links: DataFrame, max_rounds: int = 200, seed: int = 11) -> DataFra
     nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     nodes = runtime.written(nodes, "vertices")
     moves: list[DataFrame] = []
-    for number in range(max_rounds):
+    for number in itertools.count():
         if edges.isEmpty():
             break
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -63,8 +65,6 @@ def contract(links: DataFrame, max_rounds: int = 200, seed: int = 11) -> DataFra
         fewer = runtime.written(joined, "mates")
         runtime.discard(spark, edges)
         edges = fewer
-    else:
-        raise RuntimeError(f"links are left after {max_rounds} rounds")
     # unwind: from the last round back, every moved vertex takes the label of its mate
     where = None
     for moved in reversed(moves):
