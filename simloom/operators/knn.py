@@ -25,8 +25,17 @@ from pyspark.sql import functions as F
 from .. import grouping, kernels, runtime
 from ..functions import vectors
 
-#: Vectors of one corpus block.
-BLOCK = 8192
+#: Bytes of the vectors of a block: a vector is sent to as many tasks as there are blocks.
+BLOCK_BYTES = 64 << 20
+#: Vectors below which a block is not cut to keep all cores busy, and entries of the scores held at a time.
+LEAST, SCORES = 2048, 1 << 22
+
+
+def block_count(rows: int, dim: int, cores: int, block: int | None = None) -> int:
+    """Blocks of ``block`` vectors or ``BLOCK_BYTES``; of a smaller table as many as give every core a pair of them."""
+    most = block or max(1, BLOCK_BYTES // (8 * dim))
+    spread = 1 if block else min(-(-rows // LEAST), int(np.ceil(cores**0.5)))
+    return max(1, -(-rows // most), spread)
 
 
 def ranked(df: DataFrame, k: int, *by: str) -> DataFrame:
@@ -66,7 +75,7 @@ def exact_topk(
     k: int,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
-    block: int = BLOCK,
+    block: int | None = None,
     least: float | None = None,
     corpus: Column | None = None,
     shard_size: int | None = None,
@@ -98,7 +107,7 @@ def exact_topk(
     if bounds["bad"] or bounds["lo"] != bounds["hi"] or bounds["lo"] < 1:
         raise ValueError(f"vectors must be finite and of one length: {bounds['bad']} bad rows, lengths {bounds['lo']} to {bounds['hi']}")
     dim = bounds["lo"]
-    blocks = max(1, -(-bounds["rows"] // block))
+    blocks = block_count(bounds["rows"], dim, df.sparkSession.sparkContext.defaultParallelism, block)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,8 +137,9 @@ def exact_topk(
         for part in np.unique(shard):
             some = n[shard == part]
             take = min(k, len(some))
-            for lo in range(0, len(q), 1024):
-                at = q[lo : lo + 1024]
+            step = max(1, SCORES // len(some))
+            for lo in range(0, len(q), step):
+                at = q[lo : lo + step]
                 score = np.round(vec[at] @ vec[some].T, 6)
                 # ids ascend along the row
                 best = first_columns(np.where(ids[at][:, None] == ids[some][None, :], np.inf, score), take)
@@ -144,7 +154,7 @@ def exact_topk(
 
 
 def preceded(
-    old: DataFrame, new: DataFrame, threshold: float, id_col: str = "id", vector_col: str = "embedding", block: int = BLOCK
+    old: DataFrame, new: DataFrame, threshold: float, id_col: str = "id", vector_col: str = "embedding", block: int | None = None
 ) -> DataFrame:
     """(id): vectors of ``new`` with a smaller id, in ``old`` or ``new``, more similar than ``threshold``.
 
@@ -162,7 +172,8 @@ def preceded(
         return new.select("id")
     if bounds["bad"] or bounds["lo"] != bounds["hi"] or bounds["lo"] < 1:
         raise ValueError(f"vectors must be finite and of one length: {bounds['bad']} bad rows, lengths {bounds['lo']} to {bounds['hi']}")
-    dim, blocks = bounds["lo"], max(1, -(-bounds["rows"] // block))
+    dim = bounds["lo"]
+    blocks = block_count(bounds["rows"], dim, new.sparkSession.sparkContext.defaultParallelism, block)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,8 +193,9 @@ def preceded(
         role, ids = group["role"].to_numpy(), group["id"].to_numpy()
         vec = grouping.fixed_binary(group["code"], np.float64, dim)
         q, n = np.nonzero(role == 0)[0], np.nonzero(role == 1)[0]
-        for lo in range(0, len(q), 1024):
-            at = q[lo : lo + 1024]
+        step = max(1, SCORES // max(len(n), 1))
+        for lo in range(0, len(q), step):
+            at = q[lo : lo + step]
             close = (np.round(vec[at] @ vec[n].T, 6) > threshold) & (ids[n][None, :] < ids[at][:, None])
             yield pa.record_batch([ids[at][close.any(1)]], ["id"])
 

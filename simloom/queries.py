@@ -69,7 +69,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY path ORDER BY file_id, pos) AS o
 
 
 def _compacted(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
-    folder = f"{runtime.checkpoint_dir(spark)}/compactor-{uuid.uuid4().hex}"
+    folder = f"{runtime.scratch(spark)}/compactor-{uuid.uuid4().hex}"
     return folder, compactor.compact_files(spark, f"{sf_dir}/fpath_files.parquet", folder)
 
 
@@ -88,7 +88,7 @@ def p2_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p2_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table as forty small files in two deliveries, in batches of seven files; the last batch is replayed."""
     rows = _table(spark, sf_dir, "fpath_files")
-    folder = f"{runtime.checkpoint_dir(spark)}/compactor-{uuid.uuid4().hex}"
+    folder = f"{runtime.scratch(spark)}/compactor-{uuid.uuid4().hex}"
     for part in (0, 1):
         some = rows.filter(F.pmod(F.xxhash64("file_id"), F.lit(2)) == part)
         some.repartition(20, "file_id").write.mode("append").parquet(f"{folder}-in")
@@ -477,7 +477,7 @@ def group_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(_WALL + "SELECT group_id, row_number() OVER (PARTITION BY group_id ORDER BY member) - 1 AS pos, member FROM groups")
 def group_text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups written as text lines and read again; the line number is the group."""
-    folder = f"{runtime.checkpoint_dir(spark)}/group-text-{uuid.uuid4().hex}"
+    folder = f"{runtime.scratch(spark)}/group-text-{uuid.uuid4().hex}"
     writers.group_lines(_wall(spark, sf_dir)[2]).orderBy("group_id").select("value").coalesce(1).write.text(folder)
     return readers.parse_group_text(readers.line_list(spark, folder)).select(
         "group_id", F.col("pos").cast("long").alias("pos"), "member"
@@ -680,7 +680,7 @@ def shard_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("SELECT o_orderkey // 4000 AS part, count(*) AS rows, min(o_orderkey) AS first, max(o_orderkey) AS last FROM orders GROUP BY 1")
 def split_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table written in contiguous parts by index and read again."""
-    folder = f"{runtime.checkpoint_dir(spark)}/parts-{uuid.uuid4().hex}"
+    folder = f"{runtime.scratch(spark)}/parts-{uuid.uuid4().hex}"
     writers.write_split(_table(spark, sf_dir, "orders").select("o_orderkey"), folder, "o_orderkey", 4000)
     rows = spark.read.parquet(folder)
     return rows.groupBy(F.col("part").cast("long").alias("part")).agg(
@@ -708,7 +708,7 @@ def encode_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    return f"{runtime.checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{runtime.scratch(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 _EMBEDDED_PATH = "'class ' || label || '/' || vec_id || '.jpg'"

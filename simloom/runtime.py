@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -80,21 +81,42 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager)
 
 
+_SCRATCH: dict[str, str] = {}
+
+
+def scratch(spark: SparkSession) -> str:
+    """This application's folder for tables between steps, in the shared folder."""
+    application = spark.sparkContext.applicationId
+    if application not in _SCRATCH:
+        folder = f"{checkpoint_dir(spark)}/scratch-{application}"
+        _SCRATCH[application] = folder
+
+        def clear() -> None:
+            try:
+                remove(spark, folder)
+            except Exception:  # the session, and with it a local folder, may be gone before
+                pass
+
+        atexit.register(clear)
+    return _SCRATCH[application]
+
+
 def written(df: DataFrame, name: str = "t") -> DataFrame:
     """``df`` written to the shared folder and read again.
 
     Used inside iterations: the new plan is a plain scan whose size statistics
-    come from the files, so the optimizer sees real sizes in every round.
+    come from the files, so the optimizer sees real sizes in every round.  The files
+    are those of this application, and are deleted when its driver ends.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(spark: SparkSession, df: DataFrame) -> None:
     """Delete the files of a table made by :func:`written`, once nothing reads it."""
-    root = checkpoint_dir(spark)
+    root = scratch(spark)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     seen = set()

@@ -64,7 +64,7 @@ class IncrementalRemoval:
 
     def __init__(self, spark: SparkSession, folder: str | None = None, threshold: float = 0.9):
         self.spark, self.threshold = spark, threshold
-        self.folder = folder or f"{runtime.checkpoint_dir(spark)}/kept-{uuid.uuid4().hex}"
+        self.folder = folder or f"{runtime.scratch(spark)}/kept-{uuid.uuid4().hex}"
         self.batches: list[int] = []
 
     def kept(self) -> DataFrame:
