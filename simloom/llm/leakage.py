@@ -165,7 +165,7 @@ class CorpusIndex:
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
-        self.folder = folder or f"{runtime.checkpoint_dir(spark)}/corpus-{uuid.uuid4().hex}"
+        self.folder = folder or f"{runtime.scratch(spark)}/corpus-{uuid.uuid4().hex}"
         held = runtime.read_manifest(spark, self.folder)
         self.runs: list[str] = json.loads(held)["runs"] if held else []
 

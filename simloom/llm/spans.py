@@ -141,7 +141,7 @@ class SpanIndex:
         texts: bool = False,
     ):
         self.spark, self.least, self.gram, self.texts = spark, least, gram, texts
-        self.folder = folder or f"{runtime.checkpoint_dir(spark)}/spans-{uuid.uuid4().hex}"
+        self.folder = folder or f"{runtime.scratch(spark)}/spans-{uuid.uuid4().hex}"
         self.runs: list[str] = []
         self.kept: list[str] = []
         self.buckets = 0
