@@ -3,8 +3,8 @@
 Every vector is represented by its nearest pivots in order of nearness (a
 permutation prefix) and posted in the inverted files of those pivots.  In an
 inverted file the candidates of a vector are ranked by the footrule distance of
-their prefixes; the ``RERANK`` best (with all that tie with the last) are reranked by
-cosine.
+their prefixes; the ``RERANK`` best, or half of the list if that is more (with all that
+tie with the last) are reranked by cosine.
 
 Layout
     pivots      a bounded sample of the data, one for ``PER_PIVOT`` rows up to
@@ -42,6 +42,8 @@ PREFIX = 10
 WITHIN = 0.15
 #: Candidates of a vector in one list that go on from the footrule ranking to the cosines.
 RERANK = 256
+#: In a longer list this part of it goes on, so that long lists lose no more than short ones.
+SHARE = 0.5
 #: Stands for no pivot in a prefix.
 _NONE = 0xFFFF
 #: Rows from which a group of equal vectors is searched once only.
@@ -253,12 +255,12 @@ def footrule_gains(order: np.ndarray, lo: int, hi: int) -> np.ndarray:
 
 
 def list_pairs(
-    table: pa.Table, dim: int, prefix: int, threshold: float, rerank: int, rows: int = 256
+    table: pa.Table, dim: int, prefix: int, threshold: float, rerank: int, share: float = 0.0, rows: int = 256
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(ids, i, j, cosine) per block of rows of one inverted file.
 
-    Every row's candidates are ranked by footrule distance; the best ``rerank`` and
-    those as near as the last of them are reranked by cosine.  Pairs at the cosine
+    Every row's candidates are ranked by footrule distance; the best ``rerank``, or ``share``
+    of the list if that is more, and those as near as the last of them are reranked by cosine.  Pairs at the cosine
     or above come out, in both directions, that no smaller common pivot brings.
     """
     entry = grouping.fixed_binary(table["entry"], np.uint8, 10 + 2 * prefix + dim // 2 * 3)
@@ -269,6 +271,7 @@ def list_pairs(
     order = np.ascontiguousarray(entry[:, 10 : 10 + 2 * prefix]).view(np.uint16)
     vectors = kernels.decode(kernels.unpack12(np.ascontiguousarray(entry[:, 10 + 2 * prefix :])))
     pivot = table["grp"][0].as_py() // _PAIRS
+    rerank = max(rerank, int(len(ids) * share))
     for lo in range(0, len(ids), rows):
         hi = min(lo + rows, len(ids))
         score = vectors[lo:hi] @ vectors.T
@@ -320,7 +323,8 @@ def similar_vectors(
 
     Approximate: a neighbour is missed if the two share none of their ``prefix``
     nearest pivots (those within ``within`` of the nearest one's similarity), or if,
-    in the list where they meet, ``rerank`` others are nearer by footrule distance.
+    in the list where they meet, ``rerank`` others, and half of the list, are nearer by
+    footrule distance.
 
     Null, short, long, zero and non-finite vectors and null ids have no rows and
     are nobody's neighbour.  An id that comes several times counts once.  An
@@ -340,7 +344,7 @@ def similar_vectors(
     single, copies = without_copies(df, id_col, vector_col, dim, drawn, rows)
 
     def search(group: pa.Table) -> Iterable[pa.RecordBatch]:
-        parts = [_best(*found, k) for found in list_pairs(group, dim, prefix, threshold, rerank)]
+        parts = [_best(*found, k) for found in list_pairs(group, dim, prefix, threshold, rerank, SHARE)]
         if sum(len(p[0]) for p in parts):
             q, n, cosine = (np.concatenate(x) for x in zip(*parts))
             yield pa.record_batch([q, n, np.rint(cosine * 1e6).astype(np.int32)], ["q", "n", "millionths"])
