@@ -33,7 +33,7 @@ def class_from_file(path: Column | str, suffix: int = 4) -> Column:
     return F.substring(name, F.lit(1), F.greatest(F.length(name) - suffix, F.lit(0)))
 
 
-def class_of(path: Column | str, marker: str = "linkedin") -> Column:
+def class_of(path: Column | str, marker: str) -> Column:
     """The file-name class for paths that contain ``marker``, the parents' class for all others."""
     path = _col(path)
     return F.when(F.contains(path, F.lit(marker)), class_from_file(path)).otherwise(class_from_parents(path))

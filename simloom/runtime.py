@@ -170,6 +170,15 @@ def publish_manifest(spark: SparkSession, folder: str, text: str) -> None:
         raise OSError(f"the manifest of {folder} could not be added")
 
 
+def whole_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the tables below a folder that were written to their end, in order."""
+    system, place = _file(spark, folder)
+    if not system.exists(place):
+        return []
+    found = [f.getPath() for f in system.listStatus(place) if f.isDirectory()]
+    return sorted(p.getName() for p in found if system.exists(_file(spark, f"{p.toString()}/_SUCCESS")[1]))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     system, place = _file(spark, path)
     system.delete(place, True)

@@ -102,12 +102,7 @@ SCHEMA = "path string, file_id long, pos long"
 
 def batches(spark: SparkSession, folder: str) -> list[int]:
     """Numbers of the batches in the log that are whole."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/log")
-    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not system.exists(place):
-        return []
-    done = lambda f: system.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))
-    return sorted(int(f.getPath().getName().split("=")[1]) for f in system.listStatus(place) if done(f))
+    return [int(name.split("=")[1]) for name in runtime.whole_folders(spark, f"{folder}/log")]
 
 
 def _batch_rows(spark: SparkSession, folder: str, numbers: list[int]) -> DataFrame:

@@ -57,15 +57,17 @@ def run_centroids(spark: SparkSession, source: str, schema: str, folder: str, fi
 class IncrementalRemoval:
     """Greedy removal batch by batch: a vector goes if one that came before is too similar.
 
-    The kept vectors are files in a shared folder, one set per batch number.  A
-    batch searches itself and the kept ones exactly, in blocks, for any earlier
-    vector above the threshold: groups of copies may be of any size.
+    The kept vectors are files in a shared folder, one set per batch number; whoever
+    opens the folder again goes on from them.  A batch searches itself and the kept
+    ones exactly, in blocks, for any earlier vector above the threshold: groups of
+    copies may be of any size.
     """
 
     def __init__(self, spark: SparkSession, folder: str | None = None, threshold: float = 0.9):
         self.spark, self.threshold = spark, threshold
         self.folder = folder or f"{runtime.scratch(spark)}/kept-{uuid.uuid4().hex}"
-        self.batches: list[int] = []
+        # a folder that holds batches goes on with them
+        self.batches = [int(name.split("-")[1]) for name in runtime.whole_folders(spark, self.folder) if name.startswith("batch-")]
 
     def kept(self) -> DataFrame:
         """(id, embedding) of all that was kept."""

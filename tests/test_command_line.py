@@ -158,7 +158,8 @@ def test_incremental_removal(spark, rows):
     assert rows(state.add(make(0, angles(0, 1, 90)), 0)) == [(1,)]
     second = make(3, angles(91, 180, 2))
     assert rows(state.add(second, 1)) == [(3,), (5,)]
-    assert rows(state.add(second, 1)) == [(3,), (5,)]
+    state = folders.IncrementalRemoval(spark, state.folder, threshold=0.9)  # opened again
+    assert state.batches == [0, 1] and rows(state.add(second, 1)) == [(3,), (5,)]
     assert sorted(r["id"] for r in state.kept().collect()) == [0, 2, 4]
 
 

@@ -32,7 +32,7 @@ def test_class_from_parents(spark, path, want):
 def test_names(spark):
     assert one(spark, names.class_from_file(F.lit("x/40d2_face_5.jpg"))) == "40d2_face_5"
     assert one(spark, names.class_from_file(F.lit("x/ab"))) == ""
-    assert one(spark, names.class_of(F.lit("x/linkedin/a.jpeg"))) == "a."
+    assert one(spark, names.class_of(F.lit("x/portal/a.jpeg"), "portal")) == "a."
     assert one(spark, names.class_below(F.lit("r/root/c/x.jpg"), "root")) == "c"
     assert one(spark, names.class_below(F.lit("r/other/c/x.jpg"), "root")) == "other/c"
     assert one(spark, names.scene_of(F.lit("scene_7_pid2_cnt15.jpg"))) == "scene_7"
