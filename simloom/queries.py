@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from . import runtime
 from .functions import names, vectors
-from .operators import centroids, clusters, encode, knn, labels, listing, removal, shards
+from .operators import centroids, clusters, count_search, encode, knn, labels, listing, removal, shards
 from .plans import pipelines
 from .sinks import writers
 from .sources import readers
@@ -350,26 +350,22 @@ knn AS (SELECT * FROM (SELECT q, row_number() OVER (PARTITION BY q
 """
 
 
-def _document_hits(spark: SparkSession, sf_dir: str, k: int = 100) -> DataFrame:
-    """Hit lists of documents by the cosine of their token counts."""
+def _document_hits(spark: SparkSession, sf_dir: str, least: float, k: int = 100) -> DataFrame:
+    """Hit lists of documents by the cosine of their token counts, without hits below ``least``."""
     words = F.filter(F.split(F.lower("text"), "[ \\t\\n\\r]+"), lambda w: w != "")
-    bucket = lambda w: (F.conv(F.substring(F.md5(w), 1, 6), 16, 10).cast("int") % BUCKETS).cast("int")
-    tokens = _table(spark, sf_dir, "documents").filter("text IS NOT NULL").select("doc_id", F.explode(words).alias("w"))
-    counts = tokens.select("doc_id", bucket(F.col("w")).alias("k")).groupBy("doc_id", "k").agg(F.count("*").alias("c"))
-    sparse = counts.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("k", F.col("c").cast("double")))).alias("m"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)))
-    vectors_ = runtime.written(sparse.select("doc_id", dense.alias("embedding")), "tokens")
-    return runtime.written(knn.exact_topk(vectors_, k, "doc_id"), "document-hits")
+    texts = _table(spark, sf_dir, "documents").filter("text IS NOT NULL AND doc_id IS NOT NULL")
+    counts = runtime.written(count_search.word_counts(texts, "doc_id", words, BUCKETS), "tokens")
+    return runtime.written(count_search.counted_topk(counts, k, least, BUCKETS), "document-hits")
 
 
 @_query(f"WITH RECURSIVE {_TOKENS}, {_links_sql(0.97)}, {_CC} SELECT id, label AS kept FROM cc WHERE id <> label")
 def dedup_component_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return removal.component_removed(_document_hits(spark, sf_dir), 0.97)
+    return removal.component_removed(_document_hits(spark, sf_dir, 0.97), 0.97)
 
 
 @_query(f"WITH {_TOKENS} SELECT DISTINCT n AS id FROM knn WHERE sim > 0.97 AND n > q")
 def dedup_greedy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return removal.greedy_removed(_document_hits(spark, sf_dir), 0.97)
+    return removal.greedy_removed(_document_hits(spark, sf_dir, 0.97), 0.97)
 
 
 # --- reports
