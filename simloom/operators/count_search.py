@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import grouping, runtime
+from .. import grouping
 from ..functions import vectors
 from .knn import first_columns, ranked
 
@@ -239,19 +239,23 @@ def counted_topk(df: DataFrame, k: int, least: float, dim: int, block: int | Non
     if bounds["rows"] == 0:
         return spark.createDataFrame([], "q long, rk int, n long, sim double")
     blocks = block_count(bounds["rows"], spark.sparkContext.defaultParallelism, block)
-    placed = df.select("id", "code", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("i"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("j"))
-    both = placed.select(
-        (F.least("i", "j") * blocks + F.greatest("i", "j")).alias("grp"), (F.col("i") > F.col("j")).alias("second"), "id", "code"
+    pairs = [(i, j) for j in range(blocks) for i in range(j)] + [(i, i) for i in range(blocks)]
+    placed = df.select("id", "code", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("own"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other"))
+    i, j = F.least("own", "other").cast("int"), F.greatest("own", "other").cast("int")
+    number = F.when(i < j, F.expr("high * (high - 1) div 2") + F.col("low")).otherwise(F.col("low") + (len(pairs) - blocks))
+    both = placed.withColumns({"low": i, "high": j}).select(
+        number.cast("int").alias("grp"), (F.col("own") > F.col("other")).alias("second"), "id", "code"
     )
 
-    def search(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        i, j = divmod(group["grp"][0].as_py(), blocks)
-        parts = [group.filter(pc.equal(group["second"], x)).combine_chunks() for x in (False, True)]
-        if parts[0].num_rows == 0 or (i != j and parts[1].num_rows == 0):
-            return
-        for hits in block_pair(parts[0], None if i == j else parts[1], dim, k, least):
-            yield pa.record_batch(list(hits), ["q", "n", "sim"])
-
-    # groups meet in one task by chance: fewer if there are more tasks than groups
-    tasks = max(runtime.shuffle_partitions(spark), 2 * blocks * (blocks + 1))
-    return ranked(grouping.map_groups(both, "grp", search, "q long, n long, sim double", tasks), k)
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in grouping.iter_groups(batches, "grp"):
+            i, j = pairs[group["grp"][0].as_py()]
+            parts = [group.filter(pc.equal(group["second"], x)).combine_chunks() for x in (False, True)]
+            if parts[0].num_rows == 0 or (i != j and parts[1].num_rows == 0):
+                continue
+            for hits in block_pair(parts[0], None if i == j else parts[1], dim, k, least):
+                yield pa.record_batch(list(hits), ["q", "n", "sim"])
+
+    # a task a pair, blocks in themselves, which are half the work, last
+    found = both.repartitionById(len(pairs), "grp").mapInArrow(search, "q long, n long, sim double")
+    return ranked(found, k)

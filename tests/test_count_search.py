@@ -105,3 +105,8 @@ def dense_search(*args, **kwargs):
 def test_component_removal_of_documents_equals_its_sql(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(knn, "exact_topk", dense_search)
     same_as_sql(spark, tmp_path, "dedup_component_documents")
+
+
+def test_greedy_removal_of_documents_equals_its_sql(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(knn, "exact_topk", dense_search)
+    same_as_sql(spark, tmp_path, "dedup_greedy_documents")
